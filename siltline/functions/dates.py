@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from siltline import fixed
-from siltline.functions.text import spaces_to_null, strip
+from siltline.functions.text import strip
 
 # Spellings accepted as evidence of a date column.
-ISO_SHAPE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}([ T][0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]{1,9})?)?)?\z"
+ISO_SHAPE = r"^([0-9]{4}-[0-9]{2}-[0-9]{2})([ T][0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]{1,9})?)?)?\z"
 MONTH_NAME_SHAPE = (
-    r"(?i)^[0-9]{2}-[A-Z]{3}-[0-9]{2}(\s+[0-9]{2}\.[0-9]{2}\.[0-9]{2}\.[0-9]{1,9}\s+(AM|PM))?\z"
+    r"(?i)^([0-9]{2}-[A-Z]{3}-)([0-9]{2})(\s+[0-9]{2}\.[0-9]{2}\.[0-9]{2}\.[0-9]{1,9}\s+(AM|PM))?\z"
 )
 _HOUR_24 = r"([01]?[0-9]|2[0-3])"
 _HOUR_12 = r"(0?[1-9]|1[0-2])"
@@ -34,93 +34,81 @@ CLOCK = (
 )
 
 
-def _calendar_date(c: Column, pattern: str, year: int, month: int, day: int) -> Column:
-    """The date named by three groups of ``pattern``, NULL when absent or not on the calendar."""
-    parts = [F.regexp_extract(c, pattern, group) for group in (year, month, day)]
-    return F.when(parts[0] != "", F.try_to_date(F.concat_ws("-", *parts), "yyyy-M-d"))
+# A two-digit year from the pivot on.
+_LAST_CENTURY = MONTH_NAME_SHAPE.replace("([0-9]{2})(\\s", f"([{fixed.CENTURY_PIVOT // 10}-9][0-9])(\\s")
+_PACKED_DAY = r"^([0-9]{4})([0-9]{2})([0-9]{2})\z"
 
 
-def _month_name_date(c: Column) -> Column:
-    day, month, year = (F.substring(c, at, size) for at, size in ((1, 2), (4, 3), (8, 2)))
-    century = F.when(year.try_cast("int") >= fixed.CENTURY_PIVOT, F.lit("19")).otherwise(F.lit("20"))
-    text = F.concat(day, F.lit("-"), F.initcap(month), F.lit("-"), century, year)
-    return F.when(c.rlike(MONTH_NAME_SHAPE), F.try_to_date(text, "dd-MMM-yyyy"))
+def _rewritten(c: Column, *rules: tuple[str, str]) -> Column:
+    """Apply whole-text rewrites one after the other; a rule that does not match changes nothing."""
+    for pattern, replacement in rules:
+        c = F.regexp_replace(c, pattern, replacement)
+    return c
 
 
 def date_like(c: Column) -> Column:
     """Shape test used on minimum and maximum values."""
     text = strip(c)
+    day = _rewritten(text, (SLASHED, "$3-$1-$2"), (LOOSE_ISO, "$1-$2-$3"))
     return F.coalesce(
-        text.rlike(ISO_SHAPE)
-        | text.rlike(MONTH_NAME_SHAPE)
-        | _calendar_date(text, LOOSE_ISO, 1, 2, 3).isNotNull()
-        | _calendar_date(text, SLASHED, 3, 1, 2).isNotNull(),
-        F.lit(False),
+        text.rlike(f"{ISO_SHAPE}|{MONTH_NAME_SHAPE}") | F.try_to_date(day, "yyyy-M-d").isNotNull(), F.lit(False)
     )
 
 
+def _day_text(text: Column) -> Column:
+    """``yyyy-M-d`` or ``dd-MMM-yyyy`` for every accepted spelling; others stay as they are."""
+    return _rewritten(
+        text,
+        (ISO_SHAPE, "$1"),
+        (SLASHED, "$3-$1-$2"),
+        (_PACKED_DAY, "$1-$2-$3"),
+        (_LAST_CENTURY, "$119$2"),
+        (MONTH_NAME_SHAPE, "$120$2"),
+    )
+
+
+def _day(text: Column) -> Column:
+    day = _day_text(text)
+    return F.coalesce(F.try_to_date(day, "yyyy-M-d"), F.try_to_date(day, "dd-MMM-yyyy"))
+
+
 def to_date(c: Column, null_dates: list[str] | None = None) -> Column:
     """Date value of trimmed text; unknown spellings and sentinel dates are NULL."""
-    text = spaces_to_null(c)
-    value = (
-        F.when(text.rlike(ISO_SHAPE), F.try_to_date(F.left(text, F.lit(10)), "yyyy-MM-dd"))
-        .when(text.rlike(r"^[0-9]{8}\z"), F.try_to_date(text, "yyyyMMdd"))
-        .when(text.rlike(MONTH_NAME_SHAPE), _month_name_date(text))
-        .otherwise(_calendar_date(text, SLASHED, 3, 1, 2))
-    )
-    return _without_sentinels(value, value, null_dates)
+    value = _day(F.trim(c))
+    banned = [F.lit(text[:10]).cast("date") for text in (fixed.NULL_DATES if null_dates is None else null_dates)]
+    for day in banned:
+        value = F.nullif(value, day)
+    return value
 
 
 def to_timestamp(c: Column, null_dates: list[str] | None = None) -> Column:
     """Zone-free timestamp of trimmed text, same spellings and sentinels as :func:`to_date`."""
-    text = spaces_to_null(c)
-    clock = F.upper(F.trim(F.regexp_extract(text, SLASHED, 4)))
-    named_clock = F.regexp_extract(F.upper(text), r"\s([0-9.]+)\s+[AP]M\z", 1)
-    half = F.right(F.upper(text), F.lit(2))
-    named = F.concat(
-        F.date_format(_month_name_date(text), "yyyy-MM-dd"), F.lit(" "),
-        F.left(named_clock, F.lit(9)), F.rpad(F.substring(named_clock, 10, 9), 9, "0"), F.lit(" "), half,
-    )
-    day = _calendar_date(text, SLASHED, 3, 1, 2)
-    slashed = F.concat_ws(" ", F.date_format(day, "yyyy-MM-dd"), F.when(clock != "", clock))
-    midnight = to_date(c, []).cast("timestamp_ntz")
-    value = (
-        F.when(text.rlike(ISO_SHAPE), text.try_cast("timestamp_ntz"))
-        .when(named_clock != "", F.try_to_timestamp(named, F.lit("yyyy-MM-dd hh.mm.ss.SSSSSSSSS a")).cast("timestamp_ntz"))
-        .when(
-            day.isNotNull() & (clock != ""),
-            F.coalesce(
-                *[
-                    F.try_to_timestamp(slashed, F.lit(f"yyyy-MM-dd {shape}")).cast("timestamp_ntz")
-                    for shape in ("H:m:s", "H:m", "h:m:s a", "h:m a")
-                ]
-            ),
+    text = F.trim(c)
+    day = to_date(c, null_dates)
+    # The time of day as H:mm:ss with an optional fraction or half-day mark; nine digits at most.
+    clock = F.upper(
+        _rewritten(
+            text,
+            (ISO_SHAPE.replace("([ T]", "[ T]?("), "$2"),
+            (r"(?i)^.*\s([0-9]{2})\.([0-9]{2})\.([0-9]{2})\.([0-9]{1,6})[0-9]*\s+([AP]M)\z", "$1:$2:$3.$4 $5"),
+            (SLASHED, "$5"),
         )
-        .otherwise(midnight)
     )
-    return _without_sentinels(value, value.cast("date"), null_dates)
-
-
-def _without_sentinels(value: Column, day: Column, null_dates: list[str] | None) -> Column:
-    banned = fixed.NULL_DATES if null_dates is None else null_dates
-    days = [F.lit(text[:10]).cast("date") for text in banned]
-    return F.when(~F.coalesce(day.isin(days), F.lit(False)), value) if days else value
+    whole = F.concat(F.date_format(day, "yyyy-MM-dd"), F.lit(" "), F.trim(clock))
+    shapes = ("H:m[:s][.SSSSSSSSS][.SSSSSS][.SSSSS][.SSSS][.SSS][.SS][.S]", "h:m[:s][.SSSSSS][.SSSSS][.SSSS][.SSS][.SS][.S] a")
+    timed = F.coalesce(
+        F.concat_ws(" ", F.date_format(day, "yyyy-MM-dd"), F.trim(clock)).try_cast("timestamp_ntz"),
+        *[F.try_to_timestamp(whole, F.lit(f"yyyy-MM-dd {shape}")).cast("timestamp_ntz") for shape in shapes],
+    )
+    return F.when(day.isNotNull(), F.coalesce(timed, F.when(~text.contains(":") & ~text.rlike(r"\s"), day.cast("timestamp_ntz"))))
 
 
-def moment(c: Column) -> Column:
-    """Inference view of a text: (is a date or datetime, has a zone, is exactly midnight)."""
-    text = strip(c)
-    known = F.coalesce(
-        _calendar_date(text, FULL_ISO, 1, 2, 3),
-        _calendar_date(text, PACKED_ISO, 1, 2, 3),
-        _calendar_date(text, LOOSE_ISO, 1, 2, 3),
-        _calendar_date(text, SLASHED, 3, 1, 2),
-    ).isNotNull()
-    return F.struct(
-        known.alias("known"),
-        (known & text.rlike(WITH_ZONE)).alias("zoned"),
-        (known & text.rlike(MIDNIGHT)).alias("midnight"),
+def calendar_day(c: Column) -> Column:
+    """Inference view of a text: its day when it is a date or datetime in any accepted spelling."""
+    day = _rewritten(
+        strip(c), (FULL_ISO, "$1-$2-$3"), (PACKED_ISO, "$1-$2-$3"), (LOOSE_ISO, "$1-$2-$3"), (SLASHED, "$3-$1-$2")
     )
+    return F.try_to_date(day, "yyyy-M-d")
 
 
 def clock_like(c: Column) -> Column:

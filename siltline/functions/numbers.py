@@ -1,4 +1,8 @@
-"""Accounting-style numbers held as text."""
+"""Accounting-style numbers held as text.
+
+Each rule is one chain of replacements over the text, so that plans stay small when many columns
+are cleansed at once.
+"""
 
 from __future__ import annotations
 
@@ -7,70 +11,62 @@ from pyspark.sql import Column, functions as F
 from siltline.functions.text import strip
 
 NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)\z"
-INTEGRAL = r"^[+-]?[0-9]+(\.0*)?\z"
+INTEGRAL = r"^([+-]?[0-9]+)(\.0*)?\z"
 
 
 def loosen(c: Column) -> Column:
     """Drop NBSP, tabs, spaces, commas and dollar signs; brackets mean negative."""
-    bare = F.translate(strip(c), "\u00a0\t ,$", "")
-    bracketed = bare.startswith("(") & bare.endswith(")") & (F.length(bare) > 2)
-    return F.when(bracketed, F.concat(F.lit("-"), F.substring(bare, F.lit(2), F.length(bare) - 2))).otherwise(bare)
+    return F.regexp_replace(F.translate(strip(c), "\u00a0\t ,$", ""), r"(?s)^\((.+)\)\z", "-$1")
 
 
 def numeric_text(c: Column) -> Column:
     """The castable token, or NULL when the text is not a plain number."""
-    bare = loosen(c)
-    return F.when(bare.rlike(NUMBER), bare)
+    return F.nullif(F.regexp_extract(loosen(c), NUMBER, 0), F.lit(""))
 
 
 def integer_like(c: Column) -> Column:
     """Digits, or digits followed by a dot and at least one zero."""
-    return F.coalesce(numeric_text(c).rlike(r"^[+-]?[0-9]+(\.0+)?\z"), F.lit(False))
+    return F.coalesce(loosen(c).rlike(r"^[+-]?[0-9]+(\.0+)?\z"), F.lit(False))
 
 
 def rate_like(c: Column) -> Column:
-    """More than two digits after the dot."""
-    return F.coalesce(numeric_text(c).rlike(r"\.[0-9]{3,}\z"), F.lit(False))
+    """A number with more than two digits after the dot."""
+    return F.coalesce(loosen(c).rlike(r"^[+-]?[0-9]*\.[0-9]{3,}\z"), F.lit(False))
 
 
 def to_decimal(c: Column, precision: int, scale: int) -> Column:
-    return numeric_text(c).try_cast(f"decimal({precision},{scale})")
+    """NULL for anything but a plain number, exponents and NaN included."""
+    return F.regexp_extract(loosen(c), NUMBER, 0).try_cast(f"decimal({precision},{scale})")
 
 
 def to_integer(c: Column, spark_type: str) -> Column:
     """Integral values only: ``2.000`` is 2, ``2.5`` and overflow are NULL."""
-    token = numeric_text(c)
-    whole = F.when(token.rlike(INTEGRAL), F.regexp_replace(token, r"\.0*\z", ""))
-    return whole.try_cast("decimal(38,0)").try_cast(spark_type)
+    return F.regexp_extract(loosen(c), INTEGRAL, 1).try_cast("decimal(38,0)").try_cast(spark_type)
+
+
+# Sign, whole digits without leading zeros, fraction without trailing zeros.
+_PARTS = r"^(-?)\+?0*([0-9]*)\.?([0-9]*?)0*\z"
+
+
+def _parts(c: Column) -> list[Column]:
+    token = F.regexp_extract(loosen(c), NUMBER, 0)
+    return [F.regexp_extract(token, _PARTS, group) for group in (1, 2, 3)]
 
 
 def strict_integer_text(c: Column) -> Column:
     """Canonical integer text, NULL when not integral."""
-    token = numeric_text(c)
-    return F.when(
-        token.rlike(r"^[+-]?([0-9]+(\.0*)?|\.0+)\z"),
-        F.coalesce(_canonical(F.regexp_replace(token, r"\.0*\z", "")), F.lit("0")),
-    )
+    sign, whole, _ = _parts(c)
+    integral = loosen(c).rlike(r"^[+-]?([0-9]+(\.0*)?|\.0+)\z")
+    return F.when(integral, F.when(whole == "", F.lit("0")).otherwise(F.concat(sign, whole)))
 
 
 def strict_decimal_text(c: Column, scale: int) -> Column:
     """Plain decimal text cut (not rounded) to ``scale`` digits and padded if a fraction remains."""
     if scale == 0:
         return strict_integer_text(c)
-    token = numeric_text(c)
-    whole = F.coalesce(_canonical(F.substring_index(token, ".", 1)), F.lit("0"))
-    fraction = F.rtrim(F.regexp_extract(token, r"\.([0-9]*)\z", 1), F.lit("0"))
-    negative = token.startswith("-")
-    signed = F.when(negative & (whole == "0"), F.lit("-0")).otherwise(whole)
-    return F.when(
-        token.isNotNull(),
-        F.when(fraction == "", signed).otherwise(
-            F.concat(signed, F.lit("."), F.rpad(F.left(fraction, F.lit(scale)), scale, "0"))
-        ),
+    sign, whole, fraction = _parts(c)
+    tail = F.when(fraction == "", F.lit("")).otherwise(
+        F.concat(F.lit("."), F.rpad(F.left(fraction, F.lit(scale)), scale, "0"))
     )
-
-
-def _canonical(digits: Column) -> Column:
-    """Signed digits without plus sign and leading zeros; NULL when nothing but zeros is left."""
-    bare = F.ltrim(F.regexp_replace(digits, r"^[+-]", ""), F.lit("0"))
-    return F.when(bare != "", F.concat(F.when(digits.startswith("-"), F.lit("-")).otherwise(F.lit("")), bare))
+    number = F.concat(sign, F.when(whole == "", F.lit("0")).otherwise(whole), tail)
+    return F.when(loosen(c).rlike(NUMBER), number)

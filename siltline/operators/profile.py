@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -136,50 +137,36 @@ def recommend(profiled: DataFrame) -> DataFrame:
 CANDIDATES = list(fixed.TYPE_PRIORITY)
 
 
-def _match_mask(c: Column) -> Column:
-    """Which candidate types a non-blank text matches, as bits in the order of ``CANDIDATES``."""
-    bare = text.strip(c)
-    digits = F.when(bare.rlike(r"^[+-]?[0-9]+(_[0-9]+)*\z"), F.replace(bare, F.lit("_"), F.lit("")))
-    number = digits.try_cast("decimal(38,0)")
-    hexes = F.translate(
-        F.btrim(F.replace(F.replace(bare, F.lit("urn:"), F.lit("")), F.lit("uuid:"), F.lit("")), F.lit("{}")), "-", ""
-    )
-    moment = dates.moment(c)
+def _match_mask(bare: Column, number: Column, day: Column) -> Column:
+    """Which candidate types a stripped text matches, as bits in the order of ``CANDIDATES``.
+
+    ``number`` and ``day`` are its integer and calendar readings, NULL when it has none.
+    """
+    known, zoned = day.isNotNull(), bare.rlike(dates.WITH_ZONE)
     tests = {
-        "BIT": text.boolean_word(c).isNotNull(),
-        "UNIQUEIDENTIFIER": hexes.rlike(r"^[0-9A-Fa-f]{32}\z"),
-        "TIME": dates.clock_like(c),
-        "DATETIMEOFFSET": moment["zoned"],
-        "DATE": moment["known"] & moment["midnight"],
-        "DATETIME2": moment["known"] & ~moment["zoned"],
+        "BIT": F.lower(bare).isin(fixed.TRUE_WORDS + fixed.FALSE_WORDS),
+        "UNIQUEIDENTIFIER": F.regexp_replace(bare, r"urn:|uuid:|^[{}]+|[{}]+\z|-", "").rlike(r"^[0-9A-Fa-f]{32}\z"),
+        "TIME": bare.rlike(dates.CLOCK),
+        "DATETIMEOFFSET": known & zoned,
+        "DATE": known & bare.rlike(dates.MIDNIGHT),
+        "DATETIME2": known & ~zoned,
         "TINYINT": number.between(0, 255),
         "SMALLINT": number.between(-(2**15), 2**15 - 1),
         "INT": number.between(-(2**31), 2**31 - 1),
         "BIGINT": number.between(-(2**63), 2**63 - 1),
         "DECIMAL": bare.rlike(DECIMAL_SHAPE),
     }
-    return sum(
-        (F.when(tests[name], F.lit(1 << bit)).otherwise(F.lit(0)) for bit, name in enumerate(CANDIDATES)),
-        F.lit(0),
-    )
+    bits = [F.coalesce(tests[name].cast("int"), F.lit(0)) * (1 << bit) for bit, name in enumerate(CANDIDATES)]
+    return reduce(lambda a, b: a + b, bits)
 
 
 DECIMAL_SHAPE = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]{1,6})?\z"
 
 
-def _precision_scale(c: Column) -> tuple[Column, Column]:
-    """Digits and decimals a decimal text needs once trailing zeros are dropped."""
-    bare = text.strip(c)
-    mantissa = F.regexp_replace(bare, r"^[+-]|[eE].*\z", "")
-    exponent = F.coalesce(F.regexp_extract(bare, r"[eE]([+-]?[0-9]+)\z", 1).try_cast("int"), F.lit(0))
-    fraction = F.length(F.regexp_extract(mantissa, r"\.([0-9]*)\z", 1))
-    digits = F.ltrim(F.translate(mantissa, ".", ""), F.lit("0"))
-    kept = F.rtrim(digits, F.lit("0"))
-    dropped = F.length(digits) - F.length(kept)
-    scale = F.when(kept == "", F.lit(0)).otherwise(F.greatest(fraction - dropped - exponent, F.lit(0)))
-    precision = F.greatest(F.length(kept), scale + 1, F.lit(1))
-    fits = bare.rlike(DECIMAL_SHAPE)
-    return F.when(fits, precision), F.when(fits, scale)
+def _integer(bare: Column) -> Column:
+    """The integer a text spells; underscores may group digits."""
+    digits = F.regexp_extract(bare, r"^[+-]?[0-9]+(_[0-9]+)*\z", 0)
+    return F.translate(digits, "_", "").try_cast("decimal(38,0)")
 
 
 def infer_types(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -189,17 +176,41 @@ def infer_types(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
     aggregate of fixed-width buffers.
     """
     columns = list(columns or df.columns)
-    tested = []
-    for i, name in enumerate(columns):
-        c = F.col(f"`{name}`").cast("string")
-        value = text.blank_to_null(c)
-        precision, scale = _precision_scale(c)
-        tested += [
-            F.when(value.isNotNull(), _match_mask(c)).alias(f"c{i}_mask"),
-            F.length(value).alias(f"c{i}_len"),
-            precision.alias(f"c{i}_precision"),
-            scale.alias(f"c{i}_scale"),
+    each = range(len(columns))
+    # Readings are projected step by step, so that each is computed once per value.
+    bare = df.select(*[text.blank_to_null(F.col(f"`{c}`").cast("string")).alias(f"c{i}") for i, c in enumerate(columns)])
+    read = bare.select(
+        "*",
+        *[_integer(F.col(f"c{i}")).alias(f"c{i}_number") for i in each],
+        *[dates.calendar_day(F.col(f"c{i}")).alias(f"c{i}_day") for i in each],
+        *[F.when(F.col(f"c{i}").rlike(DECIMAL_SHAPE), F.regexp_replace(f"c{i}", r"^[+-]|[eE].*\z", "")).alias(f"c{i}_mantissa") for i in each],
+        *[F.coalesce(F.regexp_extract(f"c{i}", r"[eE]([+-]?[0-9]+)\z", 1).try_cast("int"), F.lit(0)).alias(f"c{i}_exponent") for i in each],
+    )
+    tested = read.select(
+        *[
+            column
+            for i in each
+            for column in (
+                F.when(F.col(f"c{i}").isNotNull(), _match_mask(F.col(f"c{i}"), F.col(f"c{i}_number"), F.col(f"c{i}_day"))).alias(f"c{i}_mask"),
+                F.length(f"c{i}").alias(f"c{i}_len"),
+                F.ltrim(F.translate(f"c{i}_mantissa", ".", ""), F.lit("0")).alias(f"c{i}_digits"),
+                (F.length(F.regexp_extract(f"c{i}_mantissa", r"\.([0-9]*)\z", 1)) - F.col(f"c{i}_exponent")).alias(f"c{i}_shift"),
+            )
         ]
+    )
+    sized = tested.select(
+        "*",
+        *[F.length(F.rtrim(f"c{i}_digits", F.lit("0"))).alias(f"c{i}_kept") for i in each],
+    )
+    sized = sized.select(
+        "*",
+        *[
+            F.when(F.col(f"c{i}_kept") == 0, F.lit(0))
+            .otherwise(F.greatest(F.col(f"c{i}_shift") - F.length(f"c{i}_digits") + F.col(f"c{i}_kept"), F.lit(0)))
+            .alias(f"c{i}_scale")
+            for i in each
+        ],
+    )
     measures = []
     for i in range(len(columns)):
         mask = F.col(f"c{i}_mask")
@@ -207,11 +218,11 @@ def infer_types(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
             F.count(mask).alias(f"c{i}_filled"),
             F.count_if(mask.isNull()).alias(f"c{i}_blank"),
             F.max(f"c{i}_len").alias(f"c{i}_max_len"),
-            F.max(f"c{i}_precision").alias(f"c{i}_p"),
-            F.max(f"c{i}_scale").alias(f"c{i}_s"),
+            F.max(F.greatest(f"c{i}_kept", F.col(f"c{i}_scale") + 1)).alias(f"c{i}_p"),
+            F.max(F.when(F.col(f"c{i}_kept").isNotNull(), F.col(f"c{i}_scale"))).alias(f"c{i}_s"),
             *[F.count_if(F.getbit(mask, F.lit(bit)) == 1).alias(f"c{i}_b{bit}") for bit in range(len(CANDIDATES))],
         ]
-    counted = df.select(*tested).agg(*measures)
+    counted = sized.agg(*measures)
     rows = F.array(
         *[
             F.struct(

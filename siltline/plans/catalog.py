@@ -19,6 +19,7 @@ from siltline.operators import (
     tokens, variants,
 )
 from siltline.plans import layers, pipeline, reports
+from siltline.session import cut_lineage
 
 LOADED_AT = datetime(2026, 1, 2, 3, 4, 5)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -73,7 +74,7 @@ def messy_orders(spark: SparkSession, folder: str) -> DataFrame:
         by_remainder(
             key, 8,
             {0: F.concat(F.lit("$("), amount, F.lit(")")), 1: F.concat(F.lit("$"), amount),
-             2: F.concat(F.lit(" "), amount, F.lit("\t")), 3: F.lit(""), 4: F.lit("n/a"),
+             2: F.concat(F.lit("\u00a0"), amount, F.lit("\t")), 3: F.lit(""), 4: F.lit("n/a"),
              5: F.concat(F.lit("("), amount, F.lit(")")), 6: F.format_number(F.col("o_totalprice").cast("decimal(15,2)"), 2)},
             amount,
         ).alias("OrderAmount"),
@@ -293,7 +294,7 @@ def clean_date(spark, folder):
 
 @query
 def clean_text(spark, folder):
-    raw = F.concat(F.lit(" 　"), "text", F.lit("\r\n\x1f"))
+    raw = F.concat(F.lit("\u00a0\u3000"), "text", F.lit("\r\n\x1f"))
     body = text.blank_to_null(raw)
     return table(spark, folder, "documents").select(
         "doc_id",
@@ -535,7 +536,8 @@ def variant_columns(spark, folder) -> DataFrame:
             "*",
         )
         out = one if out is None else out.unionByName(one)
-    return out
+    # A few rows that later steps read many times.
+    return cut_lineage(out)
 
 
 def harmonised_orders(spark, folder, keyed: bool = False) -> DataFrame:
@@ -736,9 +738,10 @@ def snapshot(spark, folder, early: bool) -> DataFrame:
         F.rpad("o_orderstatus", 90 if early else 101, "x").alias("status"),
         *([F.col("o_custkey").cast("string").alias("customer")] if not early else [F.lit("x").alias("legacy")]),
     ]
-    return profile.profile(chosen.select(*columns), by="file_name").withColumn(
+    catalog = profile.profile(chosen.select(*columns), by="file_name").withColumn(
         "defined_sql_type", text.varchar_for_length(F.col("max_string_length"))
     )
+    return cut_lineage(catalog)
 
 
 @query
