@@ -6,6 +6,7 @@ import codecs
 import csv
 import os
 from collections.abc import Iterator, Sequence
+from urllib.parse import unquote
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -22,18 +23,23 @@ SETTINGS_SCHEMA = (
 def list_files(
     spark: SparkSession, folder: str, extensions: Sequence[str] = (".csv",), recursive: bool = False
 ) -> DataFrame:
-    """``source_file, file_name, size_bytes, last_modified`` of matching files; contents are not read."""
+    """``source_file, file_name, size_bytes, last_modified`` of matching files; contents are not read.
+
+    A scan leaves empty files out, so names come from the listing and sizes from the scan.
+    """
     endings = [e.lower() if e.startswith(".") else f".{e.lower()}" for e in extensions]
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
-    name = F.regexp_extract("path", r"([^/]*)\z", 1)
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower()).load(folder)
+    listed = spark.createDataFrame([(unquote(path),) for path in found.inputFiles()], "path string")
+    sized = found.select(
+        plain_path(F.col("path")).alias("source_file"),
+        F.col("length").alias("size_bytes"),
+        F.col("modificationTime").alias("last_modified"),
+    )
     return (
-        reader.load(folder)
-        .select(
-            plain_path(F.col("path")).alias("source_file"),
-            name.alias("file_name"),
-            F.col("length").alias("size_bytes"),
-            F.col("modificationTime").alias("last_modified"),
-        )
+        listed.select(plain_path(F.col("path")).alias("source_file"))
+        .join(sized, "source_file", "left")
+        .na.fill(0, ["size_bytes"])
+        .withColumn("file_name", F.regexp_extract("source_file", r"([^/]*)\z", 1))
         .where(F.lower(F.regexp_extract("file_name", r".(\.[^.]*)\z", 1)).isin(endings))
     )
 
