@@ -46,13 +46,18 @@ def _rewritten(c: Column, *rules: tuple[str, str]) -> Column:
     return c
 
 
+def _parsed(day: Column) -> Column:
+    """Date of a ``yyyy-M-d`` or ``dd-MMM-yyyy`` text; other texts are not even tried, which is cheaper
+    than letting them fail."""
+    shaped = F.regexp_extract(day, r"^([0-9]{4}-[0-9]{1,2}-[0-9]{1,2}|[0-9]{2}-[A-Za-z]{3}-[0-9]{4})\z", 0)
+    return F.try_to_date(F.nullif(shaped, F.lit("")), "[yyyy-M-d][dd-MMM-yyyy]")
+
+
 def date_like(c: Column) -> Column:
     """Shape test used on minimum and maximum values."""
     text = strip(c)
-    day = _rewritten(text, (SLASHED, "$3-$1-$2"), (LOOSE_ISO, "$1-$2-$3"))
-    return F.coalesce(
-        text.rlike(f"{ISO_SHAPE}|{MONTH_NAME_SHAPE}") | F.try_to_date(day, "yyyy-M-d").isNotNull(), F.lit(False)
-    )
+    day = _rewritten(text, (r"^[0-9]{2}-[A-Za-z]{3}-[0-9]{4}\z", ""), (SLASHED, "$3-$1-$2"), (LOOSE_ISO, "$1-$2-$3"))
+    return F.coalesce(text.rlike(f"{ISO_SHAPE}|{MONTH_NAME_SHAPE}") | _parsed(day).isNotNull(), F.lit(False))
 
 
 def _day_text(text: Column) -> Column:
@@ -67,14 +72,9 @@ def _day_text(text: Column) -> Column:
     )
 
 
-def _day(text: Column) -> Column:
-    day = _day_text(text)
-    return F.coalesce(F.try_to_date(day, "yyyy-M-d"), F.try_to_date(day, "dd-MMM-yyyy"))
-
-
 def to_date(c: Column, null_dates: list[str] | None = None) -> Column:
     """Date value of trimmed text; unknown spellings and sentinel dates are NULL."""
-    value = _day(F.trim(c))
+    value = _parsed(_day_text(F.trim(c)))
     banned = [F.lit(text[:10]).cast("date") for text in (fixed.NULL_DATES if null_dates is None else null_dates)]
     for day in banned:
         value = F.nullif(value, day)
@@ -106,9 +106,9 @@ def to_timestamp(c: Column, null_dates: list[str] | None = None) -> Column:
 def calendar_day(c: Column) -> Column:
     """Inference view of a text: its day when it is a date or datetime in any accepted spelling."""
     day = _rewritten(
-        strip(c), (FULL_ISO, "$1-$2-$3"), (PACKED_ISO, "$1-$2-$3"), (LOOSE_ISO, "$1-$2-$3"), (SLASHED, "$3-$1-$2")
+        strip(c), (r"^[0-9]{2}-[A-Za-z]{3}-[0-9]{4}\z", ""), (FULL_ISO, "$1-$2-$3"), (PACKED_ISO, "$1-$2-$3"), (LOOSE_ISO, "$1-$2-$3"), (SLASHED, "$3-$1-$2")
     )
-    return F.try_to_date(day, "yyyy-M-d")
+    return _parsed(day)
 
 
 def clock_like(c: Column) -> Column:

@@ -36,37 +36,36 @@ def rate_like(c: Column) -> Column:
 
 def to_decimal(c: Column, precision: int, scale: int) -> Column:
     """NULL for anything but a plain number, exponents and NaN included."""
-    return F.regexp_extract(loosen(c), NUMBER, 0).try_cast(f"decimal({precision},{scale})")
+    return numeric_text(c).try_cast(f"decimal({precision},{scale})")
 
 
 def to_integer(c: Column, spark_type: str) -> Column:
     """Integral values only: ``2.000`` is 2, ``2.5`` and overflow are NULL."""
-    return F.regexp_extract(loosen(c), INTEGRAL, 1).try_cast("decimal(38,0)").try_cast(spark_type)
+    whole = F.nullif(F.regexp_extract(loosen(c), INTEGRAL, 1), F.lit(""))
+    return whole.try_cast("decimal(38,0)").try_cast(spark_type)
 
 
-# Sign, whole digits without leading zeros, fraction without trailing zeros.
-_PARTS = r"^(-?)\+?0*([0-9]*)\.?([0-9]*?)0*\z"
+# Rewrites towards canonical digits: no plus sign, a digit before the dot, no needless zeros.
+_PLAIN = [(r"^\+", ""), (r"^(-?)\.", "$10."), (r"^(-?)0+(?=[0-9])", "$1"), (r"(\.[0-9]*[1-9])0+\z", "$1"), (r"\.0*\z", "")]
 
 
-def _parts(c: Column) -> list[Column]:
-    token = F.regexp_extract(loosen(c), NUMBER, 0)
-    return [F.regexp_extract(token, _PARTS, group) for group in (1, 2, 3)]
+def _rewritten(token: Column, rules: list[tuple[str, str]]) -> Column:
+    for pattern, replacement in rules:
+        token = F.regexp_replace(token, pattern, replacement)
+    return F.nullif(token, F.lit(""))
 
 
 def strict_integer_text(c: Column) -> Column:
     """Canonical integer text, NULL when not integral."""
-    sign, whole, _ = _parts(c)
-    integral = loosen(c).rlike(r"^[+-]?([0-9]+(\.0*)?|\.0+)\z")
-    return F.when(integral, F.when(whole == "", F.lit("0")).otherwise(F.concat(sign, whole)))
+    token = F.regexp_extract(loosen(c), r"^[+-]?([0-9]+(\.0*)?|\.0+)\z", 0)
+    return _rewritten(token, [*_PLAIN, (r"^-0\z", "0")])
 
 
 def strict_decimal_text(c: Column, scale: int) -> Column:
     """Plain decimal text cut (not rounded) to ``scale`` digits and padded if a fraction remains."""
     if scale == 0:
         return strict_integer_text(c)
-    sign, whole, fraction = _parts(c)
-    tail = F.when(fraction == "", F.lit("")).otherwise(
-        F.concat(F.lit("."), F.rpad(F.left(fraction, F.lit(scale)), scale, "0"))
-    )
-    number = F.concat(sign, F.when(whole == "", F.lit("0")).otherwise(whole), tail)
-    return F.when(loosen(c).rlike(NUMBER), number)
+    token = F.regexp_extract(loosen(c), NUMBER, 0)
+    padded = (r"(\.[0-9]+)\z", "$1" + "0" * scale)
+    cut = (rf"(\.[0-9]{{{scale}}})[0-9]+\z", "$1")
+    return _rewritten(token, [*_PLAIN, padded, cut])

@@ -144,5 +144,6 @@ def strict_text(c: Column, declared: str) -> tuple[Column, Column]:
         out = numbers.strict_decimal_text(c, kind.args[1])
     else:
         out = text.scrub(value)
+    # Blank text has no reading in any of the types, so the reading is asked for first, once.
     blank = text.is_blank(c)
-    return F.when(blank, F.lit("")).otherwise(out), ~blank & out.isNull()
+    return F.coalesce(out, F.when(blank, F.lit(""))), out.isNull() & ~blank

@@ -102,36 +102,45 @@ def similar_pairs(columns: DataFrame, keys: tuple[str, ...] = ("entity_name",))
     # little so that rounding never loses a pair.
     share = fixed.SIMILARITY_FLOOR / (2 - fixed.SIMILARITY_FLOOR) - 1e-9
     prefix = size - F.ceil(size * share).cast("int") + 1
-    probed = forms.select(*keys, "form", F.explode(F.slice(tokens, F.lit(1), prefix)).alias("token"))
+    probed = forms.withColumn("tokens", tokens).select(
+        *keys, "form", "tokens", F.explode(F.slice("tokens", F.lit(1), prefix)).alias("token")
+    )
+    # A form's tokens are distinct, so shared tokens bound the matching letters from above: pairs below
+    # the bound are dropped before any text is compared.
+    needed = (fixed.SIMILARITY_FLOOR - 1e-9) / 2 * (F.length("l.form") + F.length("r.form"))
     near = (
         probed.alias("l")
         .join(probed.alias("r"), [*keys, "token"])
         .where(
             (F.col("l.form") < F.col("r.form"))
-            & (2 * F.least(F.length("l.form"), F.length("r.form"))
-               >= (fixed.SIMILARITY_FLOOR - 1e-9) * (F.length("l.form") + F.length("r.form")))
+            & (F.least(F.length("l.form"), F.length("r.form")) >= needed)
+            & (F.size(F.array_intersect("l.tokens", "r.tokens")) >= needed)
         )
         .select(*keys, F.col("l.form").alias("a"), F.col("r.form").alias("b"))
     )
-    both_ways = near.unionByName(near.select(*keys, F.col("b").alias("a"), F.col("a").alias("b")))
-    candidates = both_ways.unionByName(
-        contained.unionByName(contained.select(*keys, F.col("b").alias("a"), F.col("a").alias("b")))
-    ).distinct()
-
+    alike = near.distinct()
+    inside = contained.where("a <> b")
+    pairs = (
+        _ordered_both_ways(alike, keys).where(~F.col("a").contains(F.col("b")) & ~F.col("b").contains(F.col("a"))).where(_matches("a", "b"))
+        .unionByName(_ordered_both_ways(inside, keys))
+        .unionByName(forms.select(*keys, F.col("form").alias("a"), F.col("form").alias("b")))
+        .distinct()
+    )
     left = named.select(*keys, F.col("column_name").alias("left_column"), F.col("form").alias("a"))
     right = named.select(*keys, F.col("column_name").alias("right_column"), F.col("form").alias("b"))
-    inside = F.col("a").contains(F.col("b")) | F.col("b").contains(F.col("a"))
-    # The ratio depends on the order of the two, so it is taken per ordered pair of forms.
-    judged = candidates.withColumn("inside", inside).withColumn("alike", F.col("inside") | _matches("a", "b"))
     return (
-        judged.where("alike")
-        .join(left, [*keys, "a"])
+        pairs.join(left, [*keys, "a"])
         .join(right, [*keys, "b"])
         .where("left_column < right_column")
         .select(*keys, "left_column", "right_column")
     )
 
 
+def _ordered_both_ways(pairs: DataFrame, keys: list[str]) -> DataFrame:
+    """The ratio depends on the order of the two forms, and either may belong to the smaller name."""
+    return pairs.unionByName(pairs.select(*keys, F.col("b").alias("a"), F.col("a").alias("b")))
+
+
 def rename_candidates(columns: DataFrame) -> DataFrame:
     """Look-alike variant-only columns of one entity that never occur in the same variant."""
     only = variants.column_presence(columns).where("presence = 'variant_only'").where(

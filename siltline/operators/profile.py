@@ -166,7 +166,7 @@ DECIMAL_SHAPE = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]{1,6})?\z"
 def _integer(bare: Column) -> Column:
     """The integer a text spells; underscores may group digits."""
     digits = F.regexp_extract(bare, r"^[+-]?[0-9]+(_[0-9]+)*\z", 0)
-    return F.translate(digits, "_", "").try_cast("decimal(38,0)")
+    return F.nullif(F.translate(digits, "_", ""), F.lit("")).try_cast("decimal(38,0)")
 
 
 def infer_types(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -184,7 +184,7 @@ def infer_types(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
         *[_integer(F.col(f"c{i}")).alias(f"c{i}_number") for i in each],
         *[dates.calendar_day(F.col(f"c{i}")).alias(f"c{i}_day") for i in each],
         *[F.when(F.col(f"c{i}").rlike(DECIMAL_SHAPE), F.regexp_replace(f"c{i}", r"^[+-]|[eE].*\z", "")).alias(f"c{i}_mantissa") for i in each],
-        *[F.coalesce(F.regexp_extract(f"c{i}", r"[eE]([+-]?[0-9]+)\z", 1).try_cast("int"), F.lit(0)).alias(f"c{i}_exponent") for i in each],
+        *[F.coalesce(F.nullif(F.regexp_extract(f"c{i}", r"[eE]([+-]?[0-9]+)\z", 1), F.lit("")).try_cast("int"), F.lit(0)).alias(f"c{i}_exponent") for i in each],
     )
     tested = read.select(
         *[
