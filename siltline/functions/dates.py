@@ -103,12 +103,13 @@ def to_timestamp(c: Column, null_dates: list[str] | None = None) -> Column:
     return F.when(day.isNotNull(), F.coalesce(timed, F.when(~text.contains(":") & ~text.rlike(r"\s"), day.cast("timestamp_ntz"))))
 
 
-def calendar_day(c: Column) -> Column:
-    """Inference view of a text: its day when it is a date or datetime in any accepted spelling."""
+def calendar_day(bare: Column) -> Column:
+    """Inference view of a stripped text: its day when it is a date or datetime in any accepted
+    spelling. Texts that cannot start a date are told apart by one cheap test."""
     day = _rewritten(
-        strip(c), (r"^[0-9]{2}-[A-Za-z]{3}-[0-9]{4}\z", ""), (FULL_ISO, "$1-$2-$3"), (PACKED_ISO, "$1-$2-$3"), (LOOSE_ISO, "$1-$2-$3"), (SLASHED, "$3-$1-$2")
+        bare, (FULL_ISO, "$1-$2-$3"), (PACKED_ISO, "$1-$2-$3"), (LOOSE_ISO, "$1-$2-$3"), (SLASHED, "$3-$1-$2")
     )
-    return _parsed(day)
+    return F.when(bare.rlike(r"^([0-9]{4}-|[0-9]{1,2}/|[0-9]{8})"), _parsed(day))
 
 
 def clock_like(c: Column) -> Column:

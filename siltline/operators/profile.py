@@ -142,11 +142,12 @@ def _match_mask(bare: Column, number: Column, day: Column) -> Column:
 
     ``number`` and ``day`` are its integer and calendar readings, NULL when it has none.
     """
+    # Cheap tests come first: the costly ones then run on few values.
     known, zoned = day.isNotNull(), bare.rlike(dates.WITH_ZONE)
     tests = {
-        "BIT": F.lower(bare).isin(fixed.TRUE_WORDS + fixed.FALSE_WORDS),
-        "UNIQUEIDENTIFIER": F.regexp_replace(bare, r"urn:|uuid:|^[{}]+|[{}]+\z|-", "").rlike(r"^[0-9A-Fa-f]{32}\z"),
-        "TIME": bare.rlike(dates.CLOCK),
+        "BIT": (F.length(bare) <= 5) & F.lower(bare).isin(fixed.TRUE_WORDS + fixed.FALSE_WORDS),
+        "UNIQUEIDENTIFIER": (F.length(bare) >= 32) & F.regexp_replace(bare, r"urn:|uuid:|^[{}]+|[{}]+\z|-", "").rlike(r"^[0-9A-Fa-f]{32}\z"),
+        "TIME": bare.contains(":") & bare.rlike(dates.CLOCK),
         "DATETIMEOFFSET": known & zoned,
         "DATE": known & bare.rlike(dates.MIDNIGHT),
         "DATETIME2": known & ~zoned,
@@ -172,82 +173,53 @@ def _integer(bare: Column) -> Column:
 def infer_types(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Best type per column by share of matching non-blank values, text below 80 percent.
 
-    Each value is tested once into a bit mask; the masks and sizes are then counted in one wide
-    aggregate of fixed-width buffers.
+    Columns are turned into (column, value) rows, so that one set of tests serves any number of
+    columns; each task folds them into one row of counters per column before the shuffle.
     """
     columns = list(columns or df.columns)
-    each = range(len(columns))
+    cells = F.array(
+        *[F.struct(F.lit(i).alias("at"), F.col(f"`{c}`").cast("string").alias("raw")) for i, c in enumerate(columns)]
+    )
     # Readings are projected step by step, so that each is computed once per value.
-    bare = df.select(*[text.blank_to_null(F.col(f"`{c}`").cast("string")).alias(f"c{i}") for i, c in enumerate(columns)])
+    bare = df.select(F.inline(cells)).select("at", text.blank_to_null(F.col("raw")).alias("bare"))
+    exponent = F.nullif(F.regexp_extract("bare", r"[eE]([+-]?[0-9]+)\z", 1), F.lit("")).try_cast("int")
     read = bare.select(
         "*",
-        *[_integer(F.col(f"c{i}")).alias(f"c{i}_number") for i in each],
-        *[dates.calendar_day(F.col(f"c{i}")).alias(f"c{i}_day") for i in each],
-        *[F.when(F.col(f"c{i}").rlike(DECIMAL_SHAPE), F.regexp_replace(f"c{i}", r"^[+-]|[eE].*\z", "")).alias(f"c{i}_mantissa") for i in each],
-        *[F.coalesce(F.nullif(F.regexp_extract(f"c{i}", r"[eE]([+-]?[0-9]+)\z", 1), F.lit("")).try_cast("int"), F.lit(0)).alias(f"c{i}_exponent") for i in each],
+        _integer(F.col("bare")).alias("number"),
+        dates.calendar_day(F.col("bare")).alias("day"),
+        F.when(F.col("bare").rlike(DECIMAL_SHAPE), F.regexp_replace("bare", r"^[+-]|[eE].*\z", "")).alias("mantissa"),
+        F.coalesce(exponent, F.lit(0)).alias("exponent"),
     )
     tested = read.select(
-        *[
-            column
-            for i in each
-            for column in (
-                F.when(F.col(f"c{i}").isNotNull(), _match_mask(F.col(f"c{i}"), F.col(f"c{i}_number"), F.col(f"c{i}_day"))).alias(f"c{i}_mask"),
-                F.length(f"c{i}").alias(f"c{i}_len"),
-                F.ltrim(F.translate(f"c{i}_mantissa", ".", ""), F.lit("0")).alias(f"c{i}_digits"),
-                (F.length(F.regexp_extract(f"c{i}_mantissa", r"\.([0-9]*)\z", 1)) - F.col(f"c{i}_exponent")).alias(f"c{i}_shift"),
-            )
-        ]
+        "at",
+        F.when(F.col("bare").isNotNull(), _match_mask(F.col("bare"), F.col("number"), F.col("day"))).alias("mask"),
+        F.length("bare").alias("size"),
+        F.ltrim(F.translate("mantissa", ".", ""), F.lit("0")).alias("digits"),
+        (F.length(F.regexp_extract("mantissa", r"\.([0-9]*)\z", 1)) - F.col("exponent")).alias("shift"),
     )
-    sized = tested.select(
-        "*",
-        *[F.length(F.rtrim(f"c{i}_digits", F.lit("0"))).alias(f"c{i}_kept") for i in each],
+    kept = tested.withColumn("kept", F.length(F.rtrim("digits", F.lit("0"))))
+    scale = F.when(F.col("kept") == 0, F.lit(0)).when(
+        F.col("kept") > 0, F.greatest(F.col("shift") - F.length("digits") + F.col("kept"), F.lit(0))
     )
-    sized = sized.select(
-        "*",
-        *[
-            F.when(F.col(f"c{i}_kept") == 0, F.lit(0))
-            .otherwise(F.greatest(F.col(f"c{i}_shift") - F.length(f"c{i}_digits") + F.col(f"c{i}_kept"), F.lit(0)))
-            .alias(f"c{i}_scale")
-            for i in each
-        ],
+    sized = kept.select("at", "mask", "size", "kept", scale.alias("scale"))
+    counted = sized.groupBy("at").agg(
+        F.count("mask").alias("non_null_row_count"),
+        F.count_if(F.col("mask").isNull()).alias("blank_row_count"),
+        F.max("size").alias("max_string_length"),
+        F.max(F.greatest("kept", F.col("scale") + 1)).alias("p"),
+        F.max("scale").alias("s"),
+        *[F.count_if(F.getbit("mask", F.lit(bit)) == 1).alias(f"b{bit}") for bit in range(len(CANDIDATES))],
     )
-    measures = []
-    for i in range(len(columns)):
-        mask = F.col(f"c{i}_mask")
-        measures += [
-            F.count(mask).alias(f"c{i}_filled"),
-            F.count_if(mask.isNull()).alias(f"c{i}_blank"),
-            F.max(f"c{i}_len").alias(f"c{i}_max_len"),
-            F.max(F.greatest(f"c{i}_kept", F.col(f"c{i}_scale") + 1)).alias(f"c{i}_p"),
-            F.max(F.when(F.col(f"c{i}_kept").isNotNull(), F.col(f"c{i}_scale"))).alias(f"c{i}_s"),
-            *[F.count_if(F.getbit(mask, F.lit(bit)) == 1).alias(f"c{i}_b{bit}") for bit in range(len(CANDIDATES))],
-        ]
-    counted = sized.agg(*measures)
-    rows = F.array(
+    ranked = F.array(
         *[
             F.struct(
-                F.lit(name).alias("column_name"),
-                F.col(f"c{i}_filled").alias("non_null_row_count"),
-                F.col(f"c{i}_blank").alias("blank_row_count"),
-                F.col(f"c{i}_max_len").alias("max_string_length"),
-                F.col(f"c{i}_p").alias("p"),
-                F.col(f"c{i}_s").alias("s"),
-                F.array_max(
-                    F.array(
-                        *[
-                            F.struct(
-                                F.col(f"c{i}_b{bit}").alias("matched"),
-                                F.lit(fixed.TYPE_PRIORITY[kind]).alias("priority"),
-                                F.lit(kind).alias("kind"),
-                            )
-                            for bit, kind in enumerate(CANDIDATES)
-                        ]
-                    )
-                ).alias("best"),
+                F.col(f"b{bit}").alias("matched"), F.lit(fixed.TYPE_PRIORITY[kind]).alias("priority"), F.lit(kind).alias("kind")
             )
-            for i, name in enumerate(columns)
+            for bit, kind in enumerate(CANDIDATES)
         ]
     )
+    names_of = F.array(*[F.lit(c) for c in columns])
+    best_of = counted.withColumn("best", F.array_max(ranked)).withColumn("column_name", F.get(names_of, F.col("at")))
     filled, varchar = F.col("non_null_row_count"), text.varchar_for_length(F.col("max_string_length"))
     precision = F.least(F.greatest(F.coalesce("p", F.lit(1)), F.lit(1)), F.lit(38))
     scale = F.least(F.coalesce("s", F.lit(0)), precision)
@@ -258,7 +230,7 @@ def infer_types(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
     sure = (filled > 0) & (share >= fixed.CONFIDENCE_THRESHOLD)
     best = F.when(F.col("best.kind") == "DECIMAL", decimal).otherwise(F.col("best.kind"))
     blank = F.col("blank_row_count") > 0
-    return counted.select(F.inline(rows)).select(
+    return best_of.select(
         "column_name",
         F.when(sure, best).otherwise(varchar).alias("inferred_sql_type"),
         F.round(share, 2).alias("confidence_pct"),

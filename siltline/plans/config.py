@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from siltline.functions import names
 from siltline.operators import headers, variants
+from siltline.session import cut_lineage
 from siltline.sources import files
 from siltline.sources.exports import ExportProfile
 
@@ -56,7 +57,7 @@ def described_files(
     if empty:
         raise ValueError(f"source file is empty: {empty[0]['source_file']}")
     described = headers.describe_headers(headed)
-    named = described.withColumn("entity_name", entity(F.col("file_name"), prefix, suffix))
+    named = cut_lineage(described.withColumn("entity_name", entity(F.col("file_name"), prefix, suffix)))
     if named.where(F.coalesce("entity_name", F.lit("")) == "").limit(1).collect():
         raise ValueError("a file name leaves no entity name")
     return named

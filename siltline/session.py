@@ -13,6 +13,9 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # The JVM does not compile methods over 8000 bytes of bytecode; wide cleansing projections are then
+    # better off split into smaller methods than fused into one.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

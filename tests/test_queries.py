@@ -18,7 +18,10 @@ def connection():
 
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_query_equals_sql(spark, connection, name):
-    assert compare.difference(QUERIES[name](spark, FOLDER), connection, SQL[name]) is None
+    frame = QUERIES[name](spark, FOLDER)
+    assert compare.difference(frame, connection, SQL[name]) is None
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
 def test_sql_covers_all_but_the_similarity_query():
@@ -45,9 +48,3 @@ def test_rename_candidates_equal_brute_force(spark):
 
 def test_entry(spark):
     assert driver.entry(spark).count() == 16
-
-
-@pytest.mark.parametrize("name", sorted(QUERIES))
-def test_plans_have_no_cross_joins(spark, name):
-    plan = QUERIES[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
-    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
