@@ -10,7 +10,6 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from siltline import fixed
 from siltline.functions import text
 from siltline.operators import history, profile, rollup
 

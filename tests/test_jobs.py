@@ -9,8 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from siltline import fixed
-from siltline.functions import names
-from siltline.operators import anomalies, checks, digest, harmonise, headers, history, profile, review, rollup, surrogate, tokens
+from siltline.operators import anomalies, checks, digest, harmonise, headers, history, profile, review, surrogate, tokens
 from siltline.plans import layers, pipeline, reports
 from siltline.plans.audit import Audit
 from siltline.plans.config import Pipeline

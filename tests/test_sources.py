@@ -4,7 +4,6 @@ import csv
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from siltline.plans import config, inventory, layers, pipeline
 from siltline.sources import delimited, files
