@@ -161,6 +161,7 @@ def _match_mask(bare: Column, number: Column, day: Column) -> Column:
     return reduce(lambda a, b: a + b, bits)
 
 
+_COUNTS = ["non_null_row_count", "blank_row_count", *[f"b{bit}" for bit in range(len(CANDIDATES))]]
 DECIMAL_SHAPE = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]{1,6})?\z"
 
 
@@ -218,8 +219,9 @@ def infer_types(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
             for bit, kind in enumerate(CANDIDATES)
         ]
     )
-    names_of = F.array(*[F.lit(c) for c in columns])
-    best_of = counted.withColumn("best", F.array_max(ranked)).withColumn("column_name", F.get(names_of, F.col("at")))
+    # Every column has a row even when the frame has none.
+    catalog = df.sparkSession.createDataFrame(list(enumerate(columns)), "at int, column_name string")
+    best_of = catalog.join(counted, "at", "left").na.fill(0, _COUNTS).withColumn("best", F.array_max(ranked))
     filled, varchar = F.col("non_null_row_count"), text.varchar_for_length(F.col("max_string_length"))
     precision = F.least(F.greatest(F.coalesce("p", F.lit(1)), F.lit(1)), F.lit(38))
     scale = F.least(F.coalesce("s", F.lit(0)), precision)

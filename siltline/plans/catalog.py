@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -525,19 +526,20 @@ def order_variants(spark, folder) -> dict[str, DataFrame]:
 
 def variant_columns(spark, folder) -> DataFrame:
     """The column catalog of those variants, as their profiles give it."""
-    out = None
+    profiles = []
     for name, frame in order_variants(spark, folder).items():
         data = [c for c in frame.columns if c not in (*fixed.RAW_METADATA, "_key")]
-        one = profile.recommend(profile.profile(frame, data)).select(
-            F.lit("ORDERS").alias("entity_name"),
-            F.lit(name).alias("pipeline_name"),
-            F.lit(f"raw.{name}").alias("table_name"),
-            (F.col("blank_row_count") + F.col("non_null_row_count")).alias("row_count"),
-            "*",
+        profiles.append(
+            profile.profile(frame, data).select(
+                F.lit("ORDERS").alias("entity_name"),
+                F.lit(name).alias("pipeline_name"),
+                F.lit(f"raw.{name}").alias("table_name"),
+                (F.col("blank_row_count") + F.col("non_null_row_count")).alias("row_count"),
+                "*",
+            )
         )
-        out = one if out is None else out.unionByName(one)
     # A few rows that later steps read many times.
-    return cut_lineage(out)
+    return cut_lineage(profile.recommend(reduce(DataFrame.unionByName, profiles)))
 
 
 def harmonised_orders(spark, folder, keyed: bool = False) -> DataFrame:
