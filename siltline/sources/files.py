@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import codecs
 import csv
+import io
 import os
 from collections.abc import Iterator, Sequence
 from urllib.parse import unquote
@@ -71,7 +72,7 @@ def read_header(
         head = spark.read.option("lineSep", "\n").text(path).select(F.col("value").cast("binary")).limit(take).collect()
         raw = [bytes(row[0]) for row in head]
         text = _head_text(b"\n".join(raw) + b"\n")[0]
-        records = _reader(iter(text.splitlines(keepends=True)), delimiter)
+        records = _reader(io.StringIO(text, newline=""), delimiter)
         found = None
         for number, record in enumerate(records, start=1):
             if number == row_number:
@@ -136,7 +137,7 @@ def _settings_row(file: str, data: bytes, wanted: str | None, sample_bytes: int)
     elif dialect is not None:
         delimiter, how = dialect.delimiter, "sniffed"
     else:
-        first_line = text.splitlines()[0] if text.splitlines() else ""
+        first_line = next(io.StringIO(text, newline=""), "")
         delimiter = max(fixed.DELIMITERS, key=first_line.count) if text.strip() else ","
         how = "default"
     try:
@@ -147,7 +148,7 @@ def _settings_row(file: str, data: bytes, wanted: str | None, sample_bytes: int)
     try:
         header = next(_reader(lines, delimiter), [])
     except UnicodeDecodeError:
-        header = next(_reader(iter(text.splitlines(keepends=True)), delimiter), [])
+        header = next(_reader(io.StringIO(text, newline=""), delimiter), [])
     row = (
         file, encoding, mode, delimiter, how, has_header,
         dialect.quotechar if dialect else '"',

@@ -136,6 +136,13 @@ def test_gates(spark, tmp_path):
         layers.profile_export(open_export(spark, profile), profile, enforce=False)
 
 
+def test_header_lines_end_only_at_line_ends(spark, tmp_path):
+    path = tmp_path / "odd.csv"
+    path.write_text('a\x0cb,"c\nd",e\u2028f\n1,2,3\n', encoding="utf-8")
+    assert files.read_header(spark, str(path)) == ["a\x0cb", "c\nd", "e\u2028f"]
+    assert list(files.file_settings(spark, [str(path)], ",").first().header) == ["a\x0cb", "c\nd", "e\u2028f"]
+
+
 def test_labels():
     assert files.resolve_paths({"source_files": ["/d/b.csv", "/d/a.csv"]}) == ["/d/a.csv", "/d/b.csv"]
     with pytest.raises(ValueError):
