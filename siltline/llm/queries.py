@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from siltline.llm.chat import OP6_SQL, op6_chat_formatting
 from siltline.llm.quality import OP4_SQL, op4_quality_rules
+from siltline.llm.sharding import op7_sharding
+from siltline.llm.tokens import op1_token_ids
 
 QUERIES = {
+    "op1_token_ids": op1_token_ids,
     "op4_quality_rules": op4_quality_rules,
     "op6_chat_formatting": op6_chat_formatting,
+    "op7_sharding": op7_sharding,
 }
 
 SQL = {
