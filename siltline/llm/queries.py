@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from siltline.llm.chat import OP6_SQL, op6_chat_formatting
+from siltline.llm.contamination import OP8_SQL, op8_decontamination
 from siltline.llm.quality import OP4_SQL, op4_quality_rules
 from siltline.llm.sharding import op7_sharding
 from siltline.llm.tokens import op1_token_ids
@@ -12,9 +13,11 @@ QUERIES = {
     "op4_quality_rules": op4_quality_rules,
     "op6_chat_formatting": op6_chat_formatting,
     "op7_sharding": op7_sharding,
+    "op8_decontamination": op8_decontamination,
 }
 
 SQL = {
     "op4_quality_rules": OP4_SQL,
     "op6_chat_formatting": OP6_SQL,
+    "op8_decontamination": OP8_SQL,
 }
