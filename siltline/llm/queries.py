@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from siltline.llm.chat import OP6_SQL, op6_chat_formatting
 from siltline.llm.contamination import OP8_SQL, op8_decontamination
+from siltline.llm.neardup import op9_minhash_neardup
 from siltline.llm.quality import OP4_SQL, op4_quality_rules
 from siltline.llm.sharding import op7_sharding
 from siltline.llm.tokens import op1_token_ids
@@ -14,6 +15,7 @@ QUERIES = {
     "op6_chat_formatting": op6_chat_formatting,
     "op7_sharding": op7_sharding,
     "op8_decontamination": op8_decontamination,
+    "op9_minhash_neardup": op9_minhash_neardup,
 }
 
 SQL = {
