@@ -42,6 +42,16 @@ def _keys(dimensions: dict[str, Column], tie: Column) -> Column:
     return F.array(*coordinates)
 
 
+def _beside(rows: DataFrame, box: str, names: list[str], kinds: tuple[str, ...], values: list[tuple]) -> DataFrame:
+    """``rows`` with the values of their box, null where it has none: constants if only one box has
+    values, else a join with a table of fewer rows than there are shards."""
+    if len(values) == 1:
+        mine = quoted(box) == values[0][0]
+        return rows.withColumns({n: F.when(mine, F.lit(v)).cast(k) for n, k, v in zip(names, kinds, values[0])})
+    listed = rows.sparkSession.createDataFrame(values, ", ".join(f"{n} {k}" for n, k in zip(names, kinds)))
+    return rows.join(F.broadcast(listed), quoted(box) == quoted(names[0]), "left")
+
+
 class KdTree:
     """Cuts by level: (first shard of the box, its shards, dimension, threshold)."""
 
@@ -57,14 +67,11 @@ class KdTree:
         placed = rows.withColumn(box, F.lit(0))
         for cuts in self.levels:
             names = [fresh(placed.columns, f"cut_{x}") for x in ("box", "shards", "dim", "at")]
-            listed = self.spark.createDataFrame(cuts, ", ".join(f"{n} {k}" for n, k in zip(names, ("int", "int", "int", SIZE))))
-            at, shards, dim, threshold = map(quoted, names)
+            placed = _beside(placed, box, names, ("int", "int", "int", SIZE), cuts)
+            shards, dim, threshold = map(quoted, names[1:])
             upper = F.coalesce(F.get(quoted(keys), dim) >= threshold, F.lit(False))
-            placed = (
-                placed.join(F.broadcast(listed), quoted(box) == at, "left")
-                .withColumn(box, F.when(upper, quoted(box) + F.floor(shards / 2).cast("int")).otherwise(quoted(box)))
-                .drop(*names)
-            )
+            moved = F.when(upper, quoted(box) + F.floor(shards / 2).cast("int")).otherwise(quoted(box))
+            placed = placed.withColumn(box, moved).drop(*names)
         return placed
 
 
@@ -95,16 +102,13 @@ def grow_tree(rows: DataFrame, shards: int, dimensions: list[str]) -> KdTree:
 
 def _search(rows: DataFrame, state: dict[int, dict]) -> dict[int, int]:
     """The key at which each box is cut, by rounds of histograms."""
-    spark, cuts, left = rows.sparkSession, {}, dict(state)
+    cuts, left = {}, dict(state)
     while left:
-        listed = spark.createDataFrame(
-            [(b, s["dim"], s["low"], s["high"], -(-(s["high"] - s["low"] + 1) // BINS), float(s["target"] - s["before"])) for b, s in left.items()],
-            f"b int, dim int, low {SIZE}, high {SIZE}, width {SIZE}, wanted double",
-        )
+        ranges = [(b, s["dim"], s["low"], s["high"], -(-(s["high"] - s["low"] + 1) // BINS), float(s["target"] - s["before"])) for b, s in left.items()]
+        beside = _beside(rows, "box", ["b", "dim", "low", "high", "width", "wanted"], ("int", "int", SIZE, SIZE, SIZE, "double"), ranges)
         key = F.get("keys", F.col("dim"))
         binned = (
-            rows.join(F.broadcast(listed), F.col("box") == F.col("b"))  # at most one row per shard
-            .where((key >= F.col("low")) & (key <= F.col("high")))
+            beside.where((key >= F.col("low")) & (key <= F.col("high")))
             .groupBy("b", "wanted", F.floor((key - F.col("low")) / F.col("width")).alias("bin"))
             .agg(F.sum("size").alias("bytes"), F.min(key).alias("first"), F.max(key).alias("last"))
         )
