@@ -7,10 +7,12 @@ from siltline.llm.contamination import OP8_SQL, op8_decontamination
 from siltline.llm.neardup import op9_minhash_neardup
 from siltline.llm.quality import OP4_SQL, op4_quality_rules
 from siltline.llm.sharding import op7_sharding
+from siltline.llm.toxicity import op3_toxicity
 from siltline.llm.tokens import op1_token_ids
 
 QUERIES = {
     "op1_token_ids": op1_token_ids,
+    "op3_toxicity": op3_toxicity,
     "op4_quality_rules": op4_quality_rules,
     "op6_chat_formatting": op6_chat_formatting,
     "op7_sharding": op7_sharding,
