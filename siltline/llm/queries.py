@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from siltline.llm.chat import OP6_SQL, op6_chat_formatting
 from siltline.llm.contamination import OP8_SQL, op8_decontamination
+from siltline.llm.mixing import OP2_SQL, op2_mixing
 from siltline.llm.neardup import op9_minhash_neardup
 from siltline.llm.quality import OP4_SQL, op4_quality_rules
 from siltline.llm.sharding import op7_sharding
@@ -12,6 +13,7 @@ from siltline.llm.tokens import op1_token_ids
 
 QUERIES = {
     "op1_token_ids": op1_token_ids,
+    "op2_mixing": op2_mixing,
     "op3_toxicity": op3_toxicity,
     "op4_quality_rules": op4_quality_rules,
     "op6_chat_formatting": op6_chat_formatting,
@@ -21,6 +23,7 @@ QUERIES = {
 }
 
 SQL = {
+    "op2_mixing": OP2_SQL,
     "op4_quality_rules": OP4_SQL,
     "op6_chat_formatting": OP6_SQL,
     "op8_decontamination": OP8_SQL,
