@@ -8,6 +8,7 @@ from siltline.llm.mixing import OP2_SQL, op2_mixing
 from siltline.llm.neardup import op9_minhash_neardup
 from siltline.llm.quality import OP4_SQL, op4_quality_rules
 from siltline.llm.sharding import op7_sharding
+from siltline.llm.substrings import op5_substring_dedup
 from siltline.llm.surrogates import op10_pii_surrogates
 from siltline.llm.toxicity import op3_toxicity
 from siltline.llm.tokens import op1_token_ids
@@ -17,6 +18,7 @@ QUERIES = {
     "op2_mixing": op2_mixing,
     "op3_toxicity": op3_toxicity,
     "op4_quality_rules": op4_quality_rules,
+    "op5_substring_dedup": op5_substring_dedup,
     "op6_chat_formatting": op6_chat_formatting,
     "op7_sharding": op7_sharding,
     "op8_decontamination": op8_decontamination,
