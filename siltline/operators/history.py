@@ -62,8 +62,9 @@ def entity_types(history: DataFrame, entity: str, stage: str = "PRELOAD_CSV") ->
 
 
 def reconcile_types(types: DataFrame, key: str = "ColumnName") -> DataFrame:
-    """One type per column from several: any typed variant beats text; dates beat money beats the
-    first decimal beats integers; text takes the widest."""
+    """One type per column from several: any typed variant beats text; dates beat money beats decimals
+    beat integers; text takes the widest. Of several decimals the result holds all: the most digits
+    before the point and the most behind it, the latter cut where both pass 38."""
     kind = F.col("sql_type")
     is_text = kind.rlike("^(N?VARCHAR|N?CHAR)")
     length = F.when(kind.contains("(MAX)"), fixed.TEXT_LIMIT).otherwise(
@@ -77,18 +78,23 @@ def reconcile_types(types: DataFrame, key: str = "ColumnName") -> DataFrame:
         .when(kind.isin("INT", "BIGINT", "SMALLINT", "TINYINT"), 2)
         .otherwise(1)
     )
+    digits = F.regexp_extract(kind, r"\((\d+)", 1).try_cast("int")
+    scale = F.coalesce(F.regexp_extract(kind, r",\s*(\d+)", 1).try_cast("int"), F.lit(0))
     best = types.groupBy(key).agg(
         F.max(rank).alias("rank"),
         F.max(F.when(is_text, length)).alias("width"),
-        F.min(F.when(rank == 3, kind)).alias("decimal"),
+        F.max(F.when(rank == 3, F.coalesce(digits, F.lit(18)) - scale)).alias("whole"),
+        F.max(F.when(rank == 3, scale)).alias("scale"),
         F.min(F.when(rank == 1, kind)).alias("other"),
     )
     width = F.when((F.col("width") == 0) | (F.col("width") == fixed.TEXT_LIMIT), fixed.TEXT_LIMIT).otherwise(F.col("width"))
+    behind = F.least(F.col("scale"), 38 - F.col("whole"))
+    decimal = F.concat(F.lit("DECIMAL("), F.col("whole") + behind, F.lit(", "), behind, F.lit(")"))
     return best.select(
         key,
         F.when(F.col("rank") == 5, F.lit("DATE"))
         .when(F.col("rank") == 4, F.lit("MONEY"))
-        .when(F.col("rank") == 3, F.col("decimal"))
+        .when(F.col("rank") == 3, decimal)
         .when(F.col("rank") == 2, F.lit("INT"))
         .when(F.col("rank") == 1, F.col("other"))
         .otherwise(F.concat(F.lit("VARCHAR("), width, F.lit(")")))

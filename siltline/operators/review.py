@@ -5,6 +5,7 @@ Column catalogs have ``file_name, column_name, defined_sql_type, nullability, ma
 
 from __future__ import annotations
 
+from datetime import datetime
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window, functions as F
@@ -64,6 +65,8 @@ def start_review(columns: DataFrame) -> DataFrame:
         "override_sql_type": F.lit(None).cast("string"),
         "review_notes": F.lit(""),
         "approved_by": F.lit(None).cast("string"),
+        "approved_at_utc": F.lit(None).cast("timestamp"),
+        "file_review_notes": F.lit(""),
     }
     for name, value in defaults.items():
         if name not in columns.columns:
@@ -77,11 +80,14 @@ def _final_type():
     return F.coalesce(F.nullif("override_sql_type", F.lit("")), F.col("defined_sql_type"))
 
 
-def apply_decisions(columns: DataFrame, files: DataFrame | None = None, overrides: DataFrame | None = None) -> DataFrame:
-    """Lay file decisions (``file_name, review_status, approved_by``) and column decisions
-    (``file_name, column_name, override_sql_type, review_notes``) over a review.
+def apply_decisions(
+    columns: DataFrame, files: DataFrame | None = None, overrides: DataFrame | None = None, decided_at: datetime | None = None
+) -> DataFrame:
+    """Lay file decisions (``file_name, review_status, approved_by`` and, if there, ``review_notes``)
+    and column decisions (``file_name, column_name, override_sql_type, review_notes``) over a review.
 
-    A decision's row counts as given even when its value is blank, which clears an override.
+    A decision's row counts as given even when its value is blank, which clears an override. Approval
+    sets ``approved_at_utc`` to ``decided_at`` (now, if not given); any other decision clears it.
     """
     reviewed = start_review(columns)
     if files is not None:
@@ -91,13 +97,17 @@ def apply_decisions(columns: DataFrame, files: DataFrame | None = None, override
         if wrong:
             raise ValueError(f"invalid review status {wrong[0]['review_status']!r}")
         given = files.select(
-            "file_name", F.col("review_status").alias("new_status"), F.col("approved_by").alias("new_approver")
+            "file_name", F.col("review_status").alias("new_status"), F.col("approved_by").alias("new_approver"),
+            (F.col("review_notes") if "review_notes" in files.columns else F.lit(None).cast("string")).alias("new_notes"),
         )
+        moment = F.current_timestamp() if decided_at is None else F.lit(decided_at).cast("timestamp")
         reviewed = (
             reviewed.join(given, "file_name", "left")
             .withColumn("review_status", F.coalesce(status, "review_status"))
             .withColumn("approved_by", F.coalesce(F.nullif("new_approver", F.lit("")), "approved_by"))
-            .drop("new_status", "new_approver")
+            .withColumn("approved_at_utc", F.when(status == "APPROVED", moment).when(status.isNull(), F.col("approved_at_utc")))
+            .withColumn("file_review_notes", F.coalesce("new_notes", "file_review_notes"))
+            .drop("new_status", "new_approver", "new_notes")
         )
     if overrides is not None:
         _refuse_unknown(overrides, reviewed, ["file_name", "column_name"])

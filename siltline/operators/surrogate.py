@@ -5,10 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from siltline import fixed
-from siltline.session import cut_lineage
-
-# Offsets are one row per file or partition, some 200 bytes each; up to this many are broadcast.
-BROADCAST_OFFSETS = 100_000
+from siltline.session import cut_lineage, write_aside
 
 
 def key_by_position(table: DataFrame, out: str = fixed.AUTO_ID, start: int = 0) -> DataFrame:
@@ -26,12 +23,12 @@ def key_by_position(table: DataFrame, out: str = fixed.AUTO_ID, start: int = 0)
 def key_by_order(df: DataFrame, order: list[str], out: str = fixed.AUTO_ID, start: int = 0) -> DataFrame:
     """``start + 1 .. start + n`` in the order of ``order``, which should identify a row.
 
-    Rows are range-partitioned and sorted once and written to the checkpoint folder; a row's key is
-    its place in its partition plus the rows of the partitions before it.
+    Rows are range-partitioned, sorted and written as Parquet once; a row's key is its place in its
+    partition plus the rows of the partitions before it.
     """
     place = F.monotonically_increasing_id()
     ranged = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_place", place)
-    placed = cut_lineage(ranged).withColumn("_piece", F.shiftright("_place", 33))
+    placed = write_aside(ranged).withColumn("_piece", F.shiftright("_place", 33))
     sizes = placed.groupBy("_piece").count()
     row = F.col("_place") - F.shiftleft("_piece", 33)
     return _numbered(placed, sizes, row, out, start).drop("_place")
@@ -43,8 +40,7 @@ def _numbered(placed: DataFrame, sizes: DataFrame, row: Column, out: str, start:
     offsets = cut_lineage(
         sizes.select("_piece", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_before"))
     )
-    small = offsets.count() <= BROADCAST_OFFSETS
-    joined = placed.join(F.broadcast(offsets) if small else offsets, "_piece")
+    joined = placed.join(offsets, "_piece")
     key = (row + F.col("_before") + 1 + start).cast("bigint")
     return joined.withColumn(out, key).drop("_piece", "_before", "_row")
 

@@ -638,12 +638,14 @@ def reviewed_stage(spark, folder):
     return layers.reviewed_stage(hrm, decisions, types)
 
 
-TYPE_CYCLE = ["VARCHAR(100)", "INT", "VARCHAR(255)", "DECIMAL(17, 4)", "MONEY", "DATE", "BIT", "VARCHAR(4000)"]
+TYPE_CYCLE = [
+    "VARCHAR(100)", "INT", "VARCHAR(255)", "DECIMAL(17, 4)", "MONEY", "DATE", "DECIMAL(10, 2)", "DECIMAL(38, 6)", "BIT", "VARCHAR(4000)", "DECIMAL(30, 9)",
+]
 
 
 @query
 def reconciled_types(spark, folder):
-    kind = F.get(F.array(*[F.lit(k) for k in TYPE_CYCLE]), F.col("p_size") % 8)
+    kind = F.get(F.array(*[F.lit(k) for k in TYPE_CYCLE]), F.col("p_size") % len(TYPE_CYCLE))
     few = F.length("p_name") % 4
     candidates = table(spark, folder, "part").select(
         F.concat_ws("/", "p_name", F.when(few == 0, F.col("p_size").cast("string"))).alias("ColumnName"), kind.alias("sql_type")

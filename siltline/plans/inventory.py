@@ -33,7 +33,7 @@ def inventory(
         read = part if read is None else read.unionByName(part)
 
     width = settings.select("source_file", F.size("header").alias("width"))
-    data = read.where("record_no > 1").join(F.broadcast(width) if len(paths) <= 100_000 else width, "source_file")
+    data = read.where("record_no > 1").join(width, "source_file")
     blank = records.row_is_blank(F.col("fields"))
     flagged = data.select(
         "source_file", "record_no", "fields", blank.alias("is_blank"),

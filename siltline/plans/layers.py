@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -15,16 +16,34 @@ from siltline.session import cut_lineage
 from siltline.sources.exports import Export, ExportProfile, file_gates, text_width
 
 
-def write_table(df: DataFrame, table: str, mode: str = "overwrite", partition_by: list[str] | None = None) -> None:
-    """Write a layer table, creating its database when missing."""
-    database = table.split(".", 1)[0]
-    df.sparkSession.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-    writer = df.write.format("parquet").mode(mode)
+def write_table(
+    df: DataFrame, table: str, mode: str = "overwrite", partition_by: list[str] | None = None,
+    verify: Callable[[DataFrame], None] | None = None,
+) -> None:
+    """Write a layer table, creating its database when missing.
+
+    An overwrite goes to a table beside it, which takes the name once it is whole and ``verify`` (given
+    what is stored) has not raised; until then the old table stays as it was.
+    """
+    spark, database = df.sparkSession, table.split(".", 1)[0]
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    name = f"{table}__loading" if mode == "overwrite" else table
     if mode == "overwrite":
-        writer = writer.option("overwriteSchema", "true")
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    writer = df.write.format("parquet").mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.saveAsTable(table)
+    try:
+        writer.saveAsTable(name)
+        if verify is not None:
+            verify(spark.table(name))
+    except Exception:
+        if mode == "overwrite":
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+        raise
+    if mode == "overwrite":
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        spark.sql(f"ALTER TABLE {name} RENAME TO {table}")
 
 
 # --- profile ------------------------------------------------------------------------------
@@ -121,26 +140,45 @@ def load_raw(
 ) -> int:
     """Replace a raw table with the good rows of an export and check what was stored.
 
-    An existing table must have the same columns in the same order. A write is one atomic job; the
-    stored rows per source file are compared with the rows the write saw.
+    Every file passes its gates (malformed rows, no data, header) before anything is written. An
+    existing table must have the same columns in the same order. The rows are written beside the
+    table, and it is replaced only if each load slice (load time and file) holds the rows its file has.
     """
-    spark = export.records.sparkSession
-    rows = raw_rows(export, profile_config, loaded_at or datetime.now())
+    spark, when = export.records.sparkSession, loaded_at or datetime.now()
+    rows = raw_rows(export, profile_config, when)
     if spark.catalog.tableExists(table):
         existing = spark.table(table)
         if backfill_metadata:
-            existing = with_metadata(existing, loaded_at or datetime.now())
+            existing = with_metadata(existing, when)
         if existing.columns != rows.columns:
             raise ValueError(f"schema drift: {table} has {existing.columns}, the export has {rows.columns}")
-    seen = Observation()
-    write_table(rows.observe(seen, F.count(F.lit(1)).alias("rows")), table)
-    written, stored = seen.get["rows"], spark.table(table).count()
-    if written == 0:
-        raise ValueError(f"no data rows to load into {table}")
-    if stored != written:
-        spark.sql(f"TRUNCATE TABLE {table}")
-        raise ValueError(f"{table}: {written} rows were written but {stored} are stored; the load was undone")
-    return stored
+    gates = cut_lineage(file_gates(export))
+    bad = gates.where("malformed_threshold_exceeded OR has_no_data OR NOT same_header").orderBy("source_file").limit(1).collect()
+    if bad:
+        file = bad[0]
+        why = (
+            f"{file.malformed_row_count} malformed rows, {export.allowed_malformed} are allowed"
+            if file.malformed_threshold_exceeded else "another header" if not file.same_header else "no data rows"
+        )
+        raise ValueError(f"{file.source_file} is not loaded into {table}: {why}")
+    total = gates.agg(F.count("*").alias("files"), F.coalesce(F.sum("row_count"), F.lit(0)).alias("rows")).first()
+    if total.files < len(set(profile_config.source_files)) or not total.rows:
+        raise ValueError(f"no data rows to load into {table} from {len(set(profile_config.source_files)) - total.files} files")
+
+    def verify(stored: DataFrame) -> None:
+        written = gates.select(
+            F.lit(when.replace(microsecond=0)).cast("timestamp").alias(fixed.LOAD_DATE),
+            F.col("source_file").alias(fixed.SOURCE_FILE), "row_count",
+        )
+        short = checks.partial_loads(written, stored).orderBy(fixed.SOURCE_FILE).limit(1).collect()
+        if short:
+            raise ValueError(
+                f"{table}: {short[0][fixed.SOURCE_FILE]} has {short[0].written_count} rows but {short[0].row_count} are stored; "
+                "the table is unchanged"
+            )
+
+    write_table(rows, table, verify=verify)
+    return total.rows
 
 
 def with_metadata(raw: DataFrame, now: datetime) -> DataFrame:
@@ -252,7 +290,8 @@ def load_stage(
 def append_zen(spark: SparkSession, source: str, target: str) -> int:
     """Append a staged table to a trusted one; its keys go on from the highest key in use.
 
-    The staged keys are dense already, so the new keys need no further numbering.
+    Staged keys that are 1 to n are moved by that; a table without keys, or with any others, is
+    numbered by the place of its rows.
     """
     staged = spark.table(source)
     data = [c for c in staged.columns if c.lower() != fixed.AUTO_ID.lower()]
@@ -268,12 +307,23 @@ def append_zen(spark: SparkSession, source: str, target: str) -> int:
             raise ValueError(f"{target} has {present[:-1]}, {source} has {data}")
         data = present[:-1]
         start = surrogate.next_start(spark.table(target))
-    rows = staged.select(*data, (F.col(fixed.AUTO_ID) + F.lit(start)).cast("bigint").alias(fixed.AUTO_ID))
+    rows = appended_rows(staged, data, start)
     seen = Observation()
     write_table(rows.observe(seen, F.count(F.lit(1)).alias("rows")), target, mode="append")
     return seen.get["rows"]
 
 
+def appended_rows(staged: DataFrame, data: list[str], start: int) -> DataFrame:
+    """``data`` of a staged Parquet table with keys ``start + 1 .. start + n``."""
+    own = next((c for c in staged.columns if c.lower() == fixed.AUTO_ID.lower()), None)
+    if own is not None:
+        key = F.col(own)
+        held = staged.agg(F.count("*").alias("n"), F.min(key).alias("low"), F.max(key).alias("high"), F.count_distinct(key).alias("keys")).first()
+        if held.n == 0 or (held.low == 1 and held.high == held.n == held.keys):
+            return staged.select(*data, (key + F.lit(start)).cast("bigint").alias(fixed.AUTO_ID))
+    return surrogate.key_by_position(staged.select(*data), start=start)
+
+
 # --- harmonised and reviewed --------------------------------------------------------------
 
 
@@ -315,6 +365,9 @@ def read_review(spark: SparkSession, path: str, require_decision: bool = False)
 def reviewed_columns(columns: list[str], decisions: ReviewDecisions) -> list[str]:
     """Columns left after drops and renames, in order. A renamed column must not be a target too."""
     sources = {source for source, _ in decisions.rename_pairs}
+    if len(sources) < len(set(decisions.rename_pairs)):
+        counted = [source for source, _ in set(decisions.rename_pairs)]
+        raise ValueError(f"columns have more than one target: {sorted({s for s in counted if counted.count(s) > 1})}")
     chained = sources & {target for _, target in decisions.rename_pairs}
     if chained:
         raise ValueError(f"columns are both source and target of a rename: {sorted(chained)}")

@@ -647,9 +647,11 @@ def reconciled() -> str:
 
     return f"""
       SELECT k AS "ColumnName", CASE WHEN bool_or(t = 'DATE') THEN 'DATE' WHEN bool_or(t = 'MONEY') THEN 'MONEY'
-        WHEN bool_or(t LIKE 'DECIMAL%') THEN 'DECIMAL(17, 4)' WHEN bool_or(t = 'INT') THEN 'INT' WHEN bool_or(t = 'BIT') THEN 'BIT'
+        WHEN bool_or(t LIKE 'DECIMAL%') THEN 'DECIMAL(' || (max(w) + least(max(s), 38 - max(w))) || ', ' || least(max(s), 38 - max(w)) || ')' WHEN bool_or(t = 'INT') THEN 'INT' WHEN bool_or(t = 'BIT') THEN 'BIT'
         ELSE 'VARCHAR(' || max(try_cast(regexp_extract(t, '([0-9]+)', 1) AS integer)) FILTER (t LIKE 'VARCHAR%') || ')' END AS sql_type
-      FROM (SELECT p_name || CASE WHEN length(p_name) % 4 = 0 THEN '/' || p_size ELSE '' END AS k, {listing(TYPE_CYCLE)}[p_size % 8 + 1] AS t FROM part)
+      FROM (SELECT *, CASE WHEN t LIKE 'DECIMAL%' THEN regexp_extract(t, ', ([0-9]+)', 1)::INT END AS s,
+              CASE WHEN t LIKE 'DECIMAL%' THEN regexp_extract(t, '([0-9]+)', 1)::INT - regexp_extract(t, ', ([0-9]+)', 1)::INT END AS w
+            FROM (SELECT p_name || CASE WHEN length(p_name) % 4 = 0 THEN '/' || p_size ELSE '' END AS k, {listing(TYPE_CYCLE)}[p_size % {len(TYPE_CYCLE)} + 1] AS t FROM part))
       GROUP BY k
     """
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,6 +13,7 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # The JVM does not compile methods over 8000 bytes of bytecode; wide cleansing projections are then
     # better off split into smaller methods than fused into one.
     "spark.sql.codegen.hugeMethodLimit": "8000",
@@ -28,19 +29,30 @@ def open_session(name: str = "siltline", **extra: str) -> SparkSession:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the shared folder named by the session; set one only where none is named (tests)."""
+    """Use the shared folder that the session names, else one beside its warehouse, which is shared too."""
     context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isDefined():
         return
     named = context.getConf().get("spark.checkpoint.dir") or spark.conf.get(
         "spark.checkpoint.dir", None
     )
-    if named is None and not context.master.startswith("local"):
-        raise ValueError("Set spark.checkpoint.dir to a folder every executor can reach.")
-    context.setCheckpointDir(named or tempfile.mkdtemp(prefix="siltline-checkpoint-"))
+    if named is None:
+        warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        named = f"{warehouse}-checkpoints"
+    context.setCheckpointDir(named)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` to reliable storage once and read it back from there."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def write_aside(df: DataFrame) -> DataFrame:
+    """Write ``df`` as Parquet to the shared folder and read it back: columns compressed and pruned,
+    where a checkpoint holds serialized rows."""
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    path = f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/aside-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -31,8 +31,6 @@ from siltline.session import cut_lineage
 # Up to this many splits (24 TiB at 128 MiB each) the index is sent to every executor, about
 # 100 bytes a row; a larger index is joined by a shuffle.
 BROADCAST_SPLITS = 200_000
-# Up to this many files are listed when records cross split boundaries; beyond it all are read again.
-MAX_LISTED_FILES = 10_000
 _END = "\x00end of split\x00"
 BOM = b"\xef\xbb\xbf"
 
@@ -176,10 +174,11 @@ def _cut_records(
         .where(F.col("starts_open") | F.col("goes_on") | (F.col("is_last") & F.col("ends_open")))
         .drop("goes_on", "is_last", "ends_open")
     )
-    touched_files = [row[0] for row in touched.select("source_file").distinct().limit(MAX_LISTED_FILES + 1).collect()]
+    # Paths of files given by the caller, so no more than the caller holds.
+    touched_files = [row[0] for row in touched.select("source_file").distinct().collect()]
     if not touched_files:
         return None
-    again = raw_lines(spark, touched_files if len(touched_files) <= MAX_LISTED_FILES else paths)
+    again = raw_lines(spark, touched_files)
     keys = ["source_file", "split_start"]
     if index.count() <= broadcast_splits:
         placed = again.join(F.broadcast(touched), keys)

@@ -90,24 +90,26 @@ def read_header(
 def file_settings(
     spark: SparkSession, paths: Sequence[str], delimiter: str | None = None, sample_bytes: int = fixed.SAMPLE_BYTES
 ) -> DataFrame:
-    """Encoding, delimiter, dialect and first record of every non-empty file, from its first bytes.
+    """Encoding, delimiter, dialect and first record of every non-empty file.
 
-    Only lines of first splits leave the scan, and each task keeps one sample per file.
+    The sample bounds what encoding and dialect are guessed from; the header is a whole record, for
+    which lines are taken until it ends. Only lines of first splits leave the scan.
     """
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (file, _), chunk in _by_split(batches):
             lines: list[bytes] = []
-            size = 0
-            for piece in chunk:
-                for raw in piece.column("line").to_pylist():
-                    lines.append(raw)
-                    size += len(raw) + 1
-                    if size >= sample_bytes:
+            size, wanted, found = 0, sample_bytes, None
+            for raw in (line for piece in chunk for line in piece.column("line").to_pylist()):
+                lines.append(raw)
+                size += len(raw) + 1
+                found = None
+                if size >= wanted:
+                    found, complete = _settings_row(file, b"\n".join(lines) + b"\n", delimiter, sample_bytes)
+                    if complete:
                         break
-                if size >= sample_bytes:
-                    break
-            yield _settings_row(file, b"\n".join(lines) + b"\n", delimiter, sample_bytes)
+                    wanted *= 2
+            yield found or _settings_row(file, b"\n".join(lines) + b"\n", delimiter, sample_bytes)[0]
 
     return raw_lines(spark, paths).where("split_start = 0").mapInArrow(describe, SETTINGS_SCHEMA)
 
@@ -125,7 +127,8 @@ def _head_text(sample: bytes) -> tuple[str, str, str]:
     return sample.decode("latin-1"), "latin-1", "fallback_candidate"
 
 
-def _settings_row(file: str, data: bytes, wanted: str | None, sample_bytes: int) -> pa.RecordBatch:
+def _settings_row(file: str, data: bytes, wanted: str | None, sample_bytes: int) -> tuple[pa.RecordBatch, bool]:
+    """The row, and whether more lines follow the header record in ``data``."""
     text, encoding, mode = _head_text(data[:sample_bytes])
     sniffer, dialect, has_header = csv.Sniffer(), None, True
     try:
@@ -144,11 +147,14 @@ def _settings_row(file: str, data: bytes, wanted: str | None, sample_bytes: int)
         has_header = sniffer.has_header(text) if text.strip() else True
     except csv.Error:
         pass
-    lines = (part for raw in data.removeprefix(BOM).split(b"\n") for part in _physical(raw, encoding.removesuffix("-sig")))
+    stored = data.removeprefix(BOM).removesuffix(b"\n").split(b"\n")
     try:
-        header = next(_reader(lines, delimiter), [])
-    except UnicodeDecodeError:
-        header = next(_reader(io.StringIO(text, newline=""), delimiter), [])
+        lines = [part for raw in stored for part in _physical(raw, encoding.removesuffix("-sig"))]
+    except UnicodeDecodeError:  # the sample was valid, what follows it is not
+        lines = [part for raw in stored for part in _physical(raw, "latin-1")]
+    records = _reader(lines, delimiter)
+    header = next(records, [])
+    complete = records.line_num < len(lines)
     row = (
         file, encoding, mode, delimiter, how, has_header,
         dialect.quotechar if dialect else '"',
@@ -158,4 +164,4 @@ def _settings_row(file: str, data: bytes, wanted: str | None, sample_bytes: int)
     )
     kinds = [pa.string()] * 5 + [pa.bool_(), pa.string(), pa.bool_(), pa.bool_(), pa.list_(pa.string())]
     names = [part.split()[0] for part in SETTINGS_SCHEMA.split(", ")]
-    return pa.RecordBatch.from_arrays([pa.array([value], type=kind) for value, kind in zip(row, kinds)], names=names)
+    return pa.RecordBatch.from_arrays([pa.array([value], type=kind) for value, kind in zip(row, kinds)], names=names), complete

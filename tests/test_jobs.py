@@ -13,6 +13,7 @@ from siltline.operators import anomalies, checks, digest, harmonise, headers, hi
 from siltline.plans import layers, pipeline, reports
 from siltline.plans.audit import Audit
 from siltline.plans.config import Pipeline
+from siltline.sources import exports
 
 CSV = (
     "Vendor,PO-NUMBER,PaidAmount,InvoiceDate,Line Qty,Note\n"
@@ -373,3 +374,69 @@ def test_metadata_backfill(spark):
     raw = layers.with_metadata(spark.createDataFrame([("x",)], "a string"), datetime(2026, 1, 1, 2, 3, 4, 5))
     row = raw.first()
     assert row.SFileName == "" and row.LoadDate == datetime(2026, 1, 1, 2, 3, 4)
+
+
+def test_raw_load_gates_leave_the_table_alone(spark, tmp_path):
+    p = entry(tmp_path, "Gated", "A,B\n1,2\n3,4\n")
+    assert pipeline.run_pipeline(spark, p, mode="raw") is not None
+    before = sorted(map(tuple, spark.table("raw.Gated").collect()))
+    for content, told in (("A,B\n1,2\n3\n", "malformed"), ("A,B\n", "no data"), ("A,B\n1," + "x" * 4001 + "\n", "longer than")):
+        (tmp_path / "Gated.csv").write_text(content)
+        with pytest.raises(Exception, match=told):
+            layers.load_raw(exports.open_export(spark, p.profile), p.profile, "raw.Gated")
+        assert sorted(map(tuple, spark.table("raw.Gated").collect())) == before
+        assert not spark.catalog.tableExists("raw.Gated__loading")
+
+
+def test_short_slice_leaves_the_table_alone(spark):
+    layers.write_table(spark.range(3).toDF("n"), "raw.Slices")
+
+    def refuse(stored):
+        raise ValueError(f"{stored.count()} rows are too few")
+
+    with pytest.raises(ValueError, match="2 rows"):
+        layers.write_table(spark.range(2).toDF("n"), "raw.Slices", verify=refuse)
+    assert spark.table("raw.Slices").count() == 3
+
+
+def test_zen_append_numbers_staged_tables_of_any_kind(spark):
+    layers.write_table(spark.createDataFrame([("a", 1), ("b", 2)], "Name string, N int"), "stg.Unkeyed")
+    assert layers.append_zen(spark, "stg.Unkeyed", "zen.Mixed") == 2
+    layers.write_table(spark.createDataFrame([("c", 3, 70), ("d", 4, 90)], "Name string, N int, AutoId bigint"), "stg.Sparse")
+    assert layers.append_zen(spark, "stg.Sparse", "zen.Mixed") == 2
+    layers.write_table(spark.createDataFrame([("f", 6, 2), ("e", 5, 1)], "Name string, N int, AutoId bigint"), "stg.Dense")
+    assert layers.append_zen(spark, "stg.Dense", "zen.Mixed") == 2
+    keys = {r.Name: r.AutoId for r in spark.table("zen.Mixed").collect()}
+    assert sorted(keys.values()) == [1, 2, 3, 4, 5, 6] and (keys["e"], keys["f"]) == (5, 6) and {keys["a"], keys["b"]} == {1, 2}
+
+
+def test_header_longer_than_the_sample_is_whole(spark, tmp_path):
+    from siltline.sources import files
+
+    names = ['"first\nline"', '"' + "long name\n" * 4_000 + 'end"', "last"]
+    (tmp_path / "wide.csv").write_text(",".join(names) + "\n1,2,3\n" * 50)
+    header = files.file_settings(spark, [str(tmp_path / "wide.csv")]).first().header
+    assert [len(h) for h in header] == [10, 40_003, 4] and header[2] == "last"
+
+
+def test_one_source_may_not_feed_two_targets():
+    decisions = layers.ReviewDecisions(rename_pairs=(("a", "b"), ("a", "c")))
+    with pytest.raises(ValueError, match="more than one target"):
+        layers.reviewed_columns(["a", "b", "c"], decisions)
+
+
+def test_reconciled_decimal_holds_all(spark):
+    rows = [("x", k) for k in ("DECIMAL(10, 2)", "DECIMAL(38, 2)", "DECIMAL(9,6)", "INT")] + [("y", "DECIMAL(5, 1)"), ("y", "VARCHAR(9)")]
+    got = {r.ColumnName: r.sql_type for r in history.reconcile_types(spark.createDataFrame(rows, "ColumnName string, sql_type string")).collect()}
+    assert got == {"x": "DECIMAL(38, 2)", "y": "DECIMAL(5, 1)"}
+
+
+def test_approval_has_a_time_and_file_notes(spark):
+    columns = spark.createDataFrame([("f", "c", "INT"), ("g", "c", "INT")], "file_name string, column_name string, defined_sql_type string")
+    files = spark.createDataFrame([("f", "approved", "me", "fine"), ("g", "rejected", "me", None)], "file_name string, review_status string, approved_by string, review_notes string")
+    moment = datetime(2024, 5, 1, 12)
+    got = {r.file_name: r for r in review.apply_decisions(columns, files, decided_at=moment).collect()}
+    assert got["f"].approved_at_utc == moment and got["f"].file_review_notes == "fine"
+    assert got["g"].approved_at_utc is None and got["g"].file_review_notes == ""
+    with pytest.raises(ValueError, match="g .REJECTED"):
+        review.approved_schema(review.apply_decisions(columns, files, decided_at=moment))

@@ -6,9 +6,10 @@ import compare
 import pytest
 
 import __spark_entry__ as driver
+from siltline.plans import catalog, oracle
 
 FOLDER = os.environ.get("SILTLINE_TEST_DATA", "/root/testdata/sf0.001")
-QUERIES, SQL = driver.queries(), driver.oracle_sql()
+QUERIES, SQL = catalog.QUERIES, oracle.statements()
 
 
 @pytest.fixture(scope="module")
