@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import string
+
 from siltline import fixed
 
 WS = fixed.WHITESPACE.replace("'", "''")
@@ -656,6 +658,44 @@ def reconciled() -> str:
     """
 
 
+def renames() -> str:
+    """Look-alike names: one in the other, or a matching-blocks ratio, found by cutting at longest matches."""
+    form = "lower(c)"
+    for old, new in fixed.SIMILARITY_WORDS:
+        form = f"replace({form}, '{old}', '{new}')"
+    form = f"regexp_replace({form}, '[^a-z0-9]+', '', 'g')"
+    shared = " + ".join(f"least(length(a) - length(replace(a, '{x}', '')), length(b) - length(replace(b, '{x}', '')))" for x in string.ascii_lowercase + string.digits)
+    return f"""
+      WITH RECURSIVE pc AS (
+        SELECT DISTINCT p_brand AS e, p_brand || '_V' || p_type AS pl,
+          array_to_string(list_transform(string_split(p_name, ' '), lambda w: upper(w[1]) || lower(w[2:])), '_')
+            || '_' || ['Quantity', 'Qty', 'Reference', 'Ref'][p_size % 4 + 1] AS c FROM part),
+      lone AS (
+        SELECT e, c, list_sort(list(pl)) AS places, {form} AS form FROM pc GROUP BY e, c
+        HAVING count(*) < (SELECT count(DISTINCT q.pl) FROM pc q WHERE q.e = pc.e)),
+      pairs AS (
+        SELECT l.e AS e, l.c AS lc, r.c AS rc, l.form AS a, r.form AS b, l.places AS lp, r.places AS rp
+        FROM lone l JOIN lone r ON l.e = r.e AND l.c < r.c AND NOT list_has_any(l.places, r.places) AND l.form <> '' AND r.form <> ''),
+      forms AS (
+        SELECT a, b FROM (SELECT DISTINCT a, b FROM pairs) WHERE NOT contains(a, b) AND NOT contains(b, a)
+          AND 2.0 * ({shared}) / (length(a) + length(b)) >= {fixed.SIMILARITY_FLOOR}),
+      seg AS (
+        SELECT a, b, 0 AS alo, length(a) AS ahi, 0 AS blo, length(b) AS bhi, NULL::INT AS k FROM forms
+        UNION ALL
+        SELECT a, b, p[1], p[2], p[3], p[4], k FROM (
+          SELECT a, b, unnest([[alo, m.i, blo, m.j], [m.i - m.n, ahi, m.j - m.n, bhi]]) AS p, unnest([-m.n, NULL]) AS k FROM (
+            SELECT a, b, alo, ahi, blo, bhi, min({{'n': -k, 'i': i, 'j': j}}) AS m FROM (
+              SELECT a, b, alo, ahi, blo, bhi, i, j,
+                list_max(list_filter(range(1, least(ahi - i, bhi - j) + 1), lambda n: substr(a, (i + 1)::INT, n::INT) = substr(b, (j + 1)::INT, n::INT))) AS k
+              FROM seg, unnest(range(alo, ahi)) AS x(i), unnest(range(blo, bhi)) AS y(j)
+              WHERE substr(a, (i + 1)::INT, 1) = substr(b, (j + 1)::INT, 1))
+            GROUP BY a, b, alo, ahi, blo, bhi))),
+      alike AS (SELECT a, b FROM seg GROUP BY a, b HAVING 2.0 * coalesce(sum(k), 0) / (length(a) + length(b)) >= {fixed.SIMILARITY_FLOOR})
+      SELECT e AS entity_name, lc AS left_column, rc AS right_column, array_to_string(lp, ';') AS left_present, array_to_string(rp, ';') AS right_present
+      FROM pairs WHERE contains(a, b) OR contains(b, a) OR EXISTS (SELECT 1 FROM alike WHERE alike.a = pairs.a AND alike.b = pairs.b)
+    """
+
+
 def statements() -> dict[str, str]:
     line_no = "(event_id + 1 + event_id // 3)"
     bad = "(event_id % 211 = 0 OR event_id % 212 = 0)"
@@ -802,6 +842,7 @@ def statements() -> dict[str, str]:
             coalesce(cast(coalesce("Amount_in_LC", "Amount_LC") AS decimal(19,4)), cast(0 AS decimal(19,4))) AS "Amount_in_LC",
             coalesce("Priority", '') AS "Priority", coalesce("Supplier_Ref", '') AS "Supplier_Ref", "SourceVariant", "SourceTable", "LoadDate", "SFileName"
           FROM ({hrm})""",
+        "rename_candidates": renames(),
         "reconciled_types": reconciled(),
         "stage_autoid": "SELECT o_orderdate, o_orderkey, o_custkey, row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS \"AutoId\" FROM orders",
         "zen_append_autoid": """

@@ -25,8 +25,8 @@ def test_query_equals_sql(spark, connection, name):
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
-def test_sql_covers_all_but_the_similarity_query():
-    assert set(QUERIES) - set(SQL) == {"rename_candidates"}
+def test_sql_covers_all():
+    assert set(QUERIES) == set(SQL)
 
 
 def test_rename_candidates_equal_brute_force(spark):
