@@ -171,13 +171,13 @@ def test_recommendations(spark):
 
 def test_merged_profiles(spark):
     frame = spark.createDataFrame(
-        [("a", 1, "BUSINESS_UNIT", "BAY10", "BAY20", 5, 1, 3), ("b", 1, "BUSINESS_UNIT", "BAY05", "BAY30", 7, 0, 2)],
+        [("x", 1, "Berth", "m4", "q1", 2, 5, 11), ("y", 1, "Berth", "c", "p99", 3, 0, 6), ("z", 1, "Berth", "n", "n", 1, 2, 1)],
         "source_file string, ordinal_position int, column_name string, minimum_non_null_value string, maximum_non_null_value string, "
         "max_string_length int, blank_row_count bigint, non_null_row_count bigint",
     )
     row = profile.merge_profiles(frame).first()
-    assert (row.minimum_non_null_value, row.maximum_non_null_value, row.max_string_length) == ("BAY05", "BAY30", 7)
-    assert (row.blank_row_count, row.non_null_row_count, row.nullability) == (1, 5, "NULL")
+    assert (row.minimum_non_null_value, row.maximum_non_null_value, row.max_string_length) == ("c", "q1", 3)
+    assert (row.blank_row_count, row.non_null_row_count, row.nullability) == (7, 18, "NULL")
 
 
 def test_inference_details(spark):
@@ -298,11 +298,11 @@ def test_rename_candidates_need_disjoint_variants(spark):
 
 
 def test_invoice_tokens(spark):
-    text = "11.75 - Supplier Invoice: SINV10003169  15.05 - Supplier Invoice: SINV-2 \n -1.21 - Supplier Invoice: A_1 (2.50) - Supplier Invoice: B $1,000 - Supplier Invoice: C"
+    text = "40.5 - Supplier Invoice: ROPE77   8.20 - Supplier Invoice: TAR-9 \n -3.4 - Supplier Invoice: oak_2 (6.75) - Supplier Invoice: Z $12,300 - Supplier Invoice: Q4"
     paid = spark.createDataFrame([(1, "T", text), (2, "U", "  "), (3, "W", "none")], "AutoId int, Transaction_Number string, Invoices_Paid string")
     rows = tokens.invoice_bridge(paid).orderBy("Invoice_Paid_Ordinal").collect()
     assert [(r.Invoice_Paid_Ordinal, float(r.Invoice_Paid_Amount), r.Invoice_Number) for r in rows] == [
-        (1, 11.75, "SINV10003169"), (2, 15.05, "SINV-2"), (3, -1.21, "A_1"), (4, -2.5, "B"), (5, 1000.0, "C"),
+        (1, 40.5, "ROPE77"), (2, 8.2, "TAR-9"), (3, -3.4, "oak_2"), (4, -6.75, "Z"), (5, 12300.0, "Q4"),
     ]
 
 
