@@ -103,3 +103,37 @@ METHOD_STEP = {
 }
 RAW_METHOD = "SPARK"  # how this package's own raw loads are logged
 DIGEST_SAMPLE = 5
+
+# --- names
+DOT_BETWEEN_LETTERS = r"(?<=[A-Za-z])\.\s*(?=[A-Za-z])"
+NOT_NAME_CHARACTERS = "[^A-Za-z0-9]+"
+
+# --- values that show a date column when variants are united
+ISO_EVIDENCE = (
+    r"^\d{4}-\d{2}-\d{2}([T ][0-2]\d:[0-5]\d:[0-5]\d(\.\d{1,9})?(Z|[+-]\d{2}:\d{2})?)?\z"
+)
+
+# --- recommendations and advice texts
+SINGLE_SHAPE = "single_shape_load"
+SINGLE_SHAPE_CLEANUP = "single_shape_with_header_cleanup"
+SHAPES_DIFFER = "schema_variant_review_required"
+UNION_CONFLICTS = "review_ordinal_conflicts_before_union"
+UNION_READY = "auto_union_candidate"
+UNION_VARIANT_ONLY = "review_variant_only_columns_before_union"
+ADVICE_UNNAMED = "Identify source meaning from sample values; rename or approve drop before stg."
+ADVICE_NAMED = "Decide whether to keep as independent field or map/coalesce with a related field in stg."
+ADVICE_RENAME = "Decide whether these columns should coalesce into one stg field."
+
+# --- issue messages
+MESSAGE_BLANK = ("is blank in ", "% of observed rows.")
+MESSAGE_LONG = f"has values longer than {LONG_TEXT_LIMIT} characters."
+MESSAGE_CONTROL = "contains control characters in sampled values."
+MESSAGE_EMPTY_HEADERS = " empty header positions detected."
+MESSAGE_DUPLICATE_HEADERS = " duplicate header names detected."
+MESSAGE_MALFORMED = " malformed rows detected."
+MESSAGE_DUPLICATE_ROWS = " duplicate data rows detected."
+
+# --- load errors: what is masked, and where row and column stand
+ERROR_MASKS = [(r"(?i)\brow\s+\d+\b", "row <n>"), (r"(?i)\bline\s+\d+\b", "line <n>"), (r"\b\d+\b", "<n>")]
+ERROR_ROW = r"(?i)row\s+(\d+)"
+ERROR_COLUMN = r"(?i)column\s+([^\s,:;]+)"

@@ -53,9 +53,8 @@ def semantics(name: Column) -> Column:
 
 def sanitize(name: Column) -> Column:
     """A table-safe name: letters, digits and single underscores, never starting with a digit."""
-    joined = F.regexp_replace(strip(name), r"(?<=[A-Za-z])\.\s*(?=[A-Za-z])", "_")
-    squeezed = F.regexp_replace(F.translate(joined, ".", ""), "[^A-Za-z0-9]+", "_")
-    bare = F.btrim(F.regexp_replace(squeezed, "_+", "_"), F.lit("_"))
+    parted = F.translate(F.regexp_replace(strip(name), fixed.DOT_BETWEEN_LETTERS, "_"), ".", "")
+    bare = F.btrim(F.regexp_replace(parted, fixed.NOT_NAME_CHARACTERS, "_"), F.lit("_"))
     safe = (
         F.when(bare == "", F.lit("Column"))
         .when(bare.rlike("^[0-9]"), F.concat(F.lit("Column_"), bare))

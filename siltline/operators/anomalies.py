@@ -216,9 +216,9 @@ def anomaly_rows(columns: DataFrame, samples: DataFrame, hrm_columns: DataFrame)
         "source_trace",
         F.when(
             generated,
-            F.lit("Identify source meaning from sample values; rename or approve drop before stg."),
+            F.lit(fixed.ADVICE_UNNAMED),
         )
-        .otherwise(F.lit("Decide whether to keep as independent field or map/coalesce with a related field in stg."))
+        .otherwise(F.lit(fixed.ADVICE_NAMED))
         .alias("recommended_review_action"),
     )
 
@@ -249,7 +249,7 @@ def anomaly_rows(columns: DataFrame, samples: DataFrame, hrm_columns: DataFrame)
             pair(":", "non_null_row_count").alias("non_null_row_count"),
             pair(" => ", "sample_values").alias("sample_values"),
             pair(": ", "source_trace").alias("source_trace"),
-            F.lit("Decide whether these columns should coalesce into one stg field.").alias("recommended_review_action"),
+            F.lit(fixed.ADVICE_RENAME).alias("recommended_review_action"),
         )
     )
     return (

@@ -12,12 +12,12 @@ def parse_errors(lines: DataFrame, line: str = "line") -> DataFrame:
     """Row number, column name and number-free message of each non-blank error line."""
     body = text.strip(F.col(line))
     message = body
-    for pattern, shown in ((r"(?i)\brow\s+\d+\b", "row <n>"), (r"(?i)\bline\s+\d+\b", "line <n>"), (r"\b\d+\b", "<n>")):
+    for pattern, shown in fixed.ERROR_MASKS:
         message = F.regexp_replace(message, pattern, shown)
     return lines.where(body != "").select(
         "*",
-        F.nullif(F.regexp_extract(body, r"(?i)row\s+(\d+)", 1), F.lit("")).try_cast("bigint").alias("error_row"),
-        F.nullif(F.regexp_extract(body, r"(?i)column\s+([^\s,:;]+)", 1), F.lit("")).alias("error_column"),
+        F.nullif(F.regexp_extract(body, fixed.ERROR_ROW, 1), F.lit("")).try_cast("bigint").alias("error_row"),
+        F.nullif(F.regexp_extract(body, fixed.ERROR_COLUMN, 1), F.lit("")).alias("error_column"),
         message.alias("message"),
     )
 

@@ -9,10 +9,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from siltline import fixed
 from siltline.functions import dates, names, text
 
-ISO_EVIDENCE = (
-    r"^\d{4}-\d{2}-\d{2}([T ][0-2]\d:[0-5]\d:[0-5]\d(\.\d{1,9})?(Z|[+-]\d{2}:\d{2})?)?\z"
-)
-
 
 def harmonised_name(name: Column) -> Column:
     return F.when(name.isin(fixed.HARMONISED_METADATA), name).otherwise(names.sanitize(name))
@@ -27,8 +23,8 @@ def column_plan(profiles: DataFrame) -> DataFrame:
     """
     low, high = F.col("minimum_non_null_value"), F.col("maximum_non_null_value")
     evidence = F.coalesce(F.nullif(low, F.lit("")), F.nullif(high, F.lit(""))).isNotNull()
-    iso = F.coalesce(text.strip(low).rlike(ISO_EVIDENCE), F.lit(False)) | F.coalesce(
-        text.strip(high).rlike(ISO_EVIDENCE), F.lit(False)
+    iso = F.coalesce(text.strip(low).rlike(fixed.ISO_EVIDENCE), F.lit(False)) | F.coalesce(
+        text.strip(high).rlike(fixed.ISO_EVIDENCE), F.lit(False)
     )
     grouped = (
         profiles.withColumn("out_name", harmonised_name(F.col("column_name")))

@@ -279,15 +279,15 @@ def column_issues(profiled: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
         F.array(
             issue(
                 "high_blank_ratio", ratio >= fixed.BLANK_RATIO_LIMIT,
-                F.concat(F.lit("is blank in "), percent, F.lit("% of observed rows.")), blank=F.round(ratio, 4),
+                F.concat(F.lit(fixed.MESSAGE_BLANK[0]), percent, F.lit(fixed.MESSAGE_BLANK[1])), blank=F.round(ratio, 4),
             ),
             issue(
                 "oversized_text", length > fixed.LONG_TEXT_LIMIT,
-                F.lit(f"has values longer than {fixed.LONG_TEXT_LIMIT} characters."), longest=length,
+                F.lit(fixed.MESSAGE_LONG), longest=length,
             ),
             issue(
                 "control_characters", F.col("contains_control_characters"),
-                F.lit("contains control characters in sampled values."),
+                F.lit(fixed.MESSAGE_CONTROL),
             ),
         )
     )
@@ -313,10 +313,10 @@ def file_issues(files: DataFrame, keys: Sequence[str]) -> DataFrame:
 
     issues = F.array_compact(
         F.array(
-            issue("empty_headers", F.size("empty_headers"), " empty header positions detected.", F.col("empty_headers")),
-            issue("duplicate_headers", F.size("duplicate_headers"), " duplicate header names detected.", F.col("duplicate_headers")),
-            issue("malformed_rows", F.col("malformed_row_count"), " malformed rows detected."),
-            issue("duplicate_data_rows", F.col("duplicate_data_row_count"), " duplicate data rows detected."),
+            issue("empty_headers", F.size("empty_headers"), fixed.MESSAGE_EMPTY_HEADERS, F.col("empty_headers")),
+            issue("duplicate_headers", F.size("duplicate_headers"), fixed.MESSAGE_DUPLICATE_HEADERS, F.col("duplicate_headers")),
+            issue("malformed_rows", F.col("malformed_row_count"), fixed.MESSAGE_MALFORMED),
+            issue("duplicate_data_rows", F.col("duplicate_data_row_count"), fixed.MESSAGE_DUPLICATE_ROWS),
         )
     )
     return files.select(*keys, F.inline(issues))

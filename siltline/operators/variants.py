@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from siltline import fixed
+
 
 def variants(headers: DataFrame) -> DataFrame:
     """One row per (entity, header hash) from described headers: files counted, first file kept."""
@@ -55,9 +57,9 @@ def entity_summary(headers: DataFrame) -> DataFrame:
         .withColumn("has_column_count_drift", drift)
         .withColumn(
             "recommendation",
-            F.when(clean, F.lit("single_shape_load"))
-            .when(~drift, F.lit("single_shape_with_header_cleanup"))
-            .otherwise(F.lit("schema_variant_review_required")),
+            F.when(clean, F.lit(fixed.SINGLE_SHAPE))
+            .when(~drift, F.lit(fixed.SINGLE_SHAPE_CLEANUP))
+            .otherwise(F.lit(fixed.SHAPES_DIFFER)),
         )
     )
 
@@ -130,8 +132,8 @@ def entity_report(columns: DataFrame) -> DataFrame:
         .withColumn("ordinal_conflict_count", F.coalesce("ordinal_conflict_count", F.lit(0)))
         .withColumn(
             "recommendation",
-            F.when(conflicted, F.lit("review_ordinal_conflicts_before_union"))
-            .when(F.col("common_column_count") == F.col("union_column_count"), F.lit("auto_union_candidate"))
-            .otherwise(F.lit("review_variant_only_columns_before_union")),
+            F.when(conflicted, F.lit(fixed.UNION_CONFLICTS))
+            .when(F.col("common_column_count") == F.col("union_column_count"), F.lit(fixed.UNION_READY))
+            .otherwise(F.lit(fixed.UNION_VARIANT_ONLY)),
         )
     )
