@@ -9,6 +9,7 @@ task replaces its file whole.
 
 from __future__ import annotations
 
+import functools
 import itertools
 import os
 import re
@@ -90,6 +91,12 @@ class PieceEncoder:
         return b"".join(out)
 
 
+@functools.lru_cache(maxsize=1)
+def _encoder(tokenizer_json: str, dtype: str) -> PieceEncoder:
+    """One encoder per Python worker: the tasks that it runs share what it has learnt."""
+    return PieceEncoder(tokenizer_json, dtype)
+
+
 def _place(folder: str) -> tuple[arrow_fs.FileSystem, str]:
     return arrow_fs.FileSystem.from_uri(folder if "://" in folder or folder.startswith("file:") else f"file://{folder}")
 
@@ -170,7 +177,7 @@ def write_token_files(
         if first is None:
             return
         number = TaskContext.get().partitionId()
-        encoder = PieceEncoder(shared.value, dtype)
+        encoder = _encoder(shared.value, dtype)
         end = np.array([end_id], dtype=dtype).tobytes()
         lengths, ids, known = [], [], []
 
