@@ -142,24 +142,25 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 BINS = np.arange(-8.0, 20.05, 0.05)
 
 
-def _token_scores(batches: Iterator[pa.RecordBatch], model: ToxicModel) -> Iterator[pa.RecordBatch]:
-    """How many tokens of this task's texts score in each bin."""
+def _measured(batches: Iterator[pa.RecordBatch], model: ToxicModel) -> Iterator[pa.RecordBatch]:
+    """Per text its label, length, best segment and segments; behind them one row with how many tokens
+    of this task's clean texts score in each bin."""
     scores, counts = _WordScores(model), np.zeros(len(BINS) - 1, np.int64)
-    for batch in batches:
-        for text in batch.column(0):
-            counts += np.histogram(np.clip(scores.of(words_of(text.as_py())), BINS[0], BINS[-1]), BINS)[0]
-    yield pa.RecordBatch.from_pydict({"bin": np.arange(len(counts), dtype=np.int32), "n": counts})
-
-
-def _best(batches: Iterator[pa.RecordBatch], model: ToxicModel) -> Iterator[pa.RecordBatch]:
-    scores = _WordScores(model)
     for batch in batches:
         values = [scores.of(words_of(t.as_py())) for t in batch.column(0)]
+        for v, toxic in zip(values, batch.column(1).to_pylist()):
+            if not toxic:
+                counts += np.histogram(np.clip(v, BINS[0], BINS[-1]), BINS)[0]
         yield pa.RecordBatch.from_pydict({
             "toxic": batch.column(1), "n": pa.array([len(v) for v in values], pa.int64()),
             "best": pa.array([best_segment(v) for v in values], pa.float64()),
             "segments": pa.array([[s for _, _, s in maximal_segments(v)] for v in values], pa.list_(pa.float64())),
+            "tokens": pa.nulls(len(values), pa.list_(pa.int64())),
         })
+    yield pa.RecordBatch.from_pydict({
+        "toxic": pa.nulls(1, pa.int32()), "n": pa.nulls(1, pa.int64()), "best": pa.nulls(1, pa.float64()),
+        "segments": pa.nulls(1, pa.list_(pa.float64())), "tokens": pa.array([counts.tolist()], pa.list_(pa.int64())),
+    })
 
 
 def evidence(segments: list[float], best: float, n: int, model: ToxicModel) -> float:
@@ -177,12 +178,15 @@ def fit(docs: DataFrame, labels: DataFrame) -> ToxicModel:
     """
     spark, place = docs.sparkSession, Workspace(docs.sparkSession, "toxicity")
     known = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").select("doc_id", F.col("toxic").cast("int").alias("toxic"))
-    known = known.where(fold(F.col("doc_id")) != 0)
-    texts = docs.where(fold(F.col("doc_id")) != 0).select("doc_id", F.col("text").cast("binary").alias("text"))
-    learnt = place.keep(texts.join(known, "doc_id").select("text", "toxic", fold(F.col("doc_id")).alias("fold")), "learnt")
+    texts = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
+
+    def labelled(part: Column) -> DataFrame:
+        """Text and label of the rows in some folds; sorted and merged at any size of the labels."""
+        return texts.where(part).hint("merge").join(known.where(part), "doc_id").select("text", "toxic")
 
+    number = fold(F.col("doc_id"))
     summed = (
-        learnt.where("fold < 4").select("text", "toxic").mapInArrow(_counted, "level int, slot int, other long, toxic long")
+        labelled(number.isin(1, 2, 3)).mapInArrow(_counted, "level int, slot int, other long, toxic long")
         .groupBy("level", "slot").agg(F.sum("other").alias("other"), F.sum("toxic").alias("toxic"))
     )
     # At most one row per level and slot, however large the corpus.
@@ -194,14 +198,14 @@ def fit(docs: DataFrame, labels: DataFrame) -> ToxicModel:
     model = ToxicModel(counts[1], counts[0], (toxic + 1) / (toxic + other + 2))
 
     shared = spark.sparkContext.broadcast(model)
-    fourth = learnt.where("fold = 4").select("text", "toxic")
-    tokens = fourth.where("toxic = 0").select("text").mapInArrow(lambda b: _token_scores(b, shared.value), "bin int, n long")
-    model.decay = _decay(tokens.groupBy("bin").agg(F.sum("n").alias("n")).where("n > 0").collect())  # as many rows as bins at most
     scored = place.keep(
-        fourth.mapInArrow(lambda b: _best(b, shared.value), "toxic int, n long, best double, segments array<double>"), "calibration"
+        labelled(number == 4).mapInArrow(lambda b: _measured(b, shared.value), "toxic int, n long, best double, segments array<double>, tokens array<long>"),
+        "calibration",
     )
-    _calibrate(model, scored)
-    place.drop("learnt", "calibration")
+    tokens = scored.where("tokens IS NOT NULL").select(F.posexplode("tokens").alias("bin", "n")).groupBy("bin").agg(F.sum("n").alias("n"))
+    model.decay = _decay(tokens.where("n > 0").collect())  # as many rows as bins at most
+    _calibrate(model, scored.where("tokens IS NULL").drop("tokens"))
+    place.drop("calibration")
     return model
 
 
