@@ -66,10 +66,9 @@ def bare_name(mention: Column) -> Column:
     return F.regexp_replace(mention, F.lit(rf"\A(?:{'|'.join(TITLES.values())})\.?[ ]"), F.lit(""))
 
 
-def entities_of(mention: Column) -> Column:
+def entities_of(mention: Column, kind: Column) -> Column:
     """The entities of a mention, each as (kind, form): a person has one for the surname and one for
     each given name, so full and short mentions agree; anything else is one entity."""
-    kind = kind_of(mention)
     digits = F.regexp_replace(mention, F.lit("[^0-9]"), F.lit(""))
     form = (
         F.when(kind.isin("card", "ssn", "phone"), digits)
@@ -179,9 +178,8 @@ def assign(entities: DataFrame, key: str, keep: Workspace) -> DataFrame:
             return settled
 
 
-def rendered(mention: Column, made: Column) -> Column:
+def rendered(mention: Column, kind: Column, made: Column) -> Column:
     """A mention with the surrogates of its entities (array of strings) in its own format."""
-    kind = kind_of(mention)
     # Digit kinds: the n-th digit of the mention becomes the n-th of the surrogate.
     places = F.aggregate(
         F.split(mention, ""),
@@ -218,24 +216,25 @@ def replace_entities(docs: DataFrame, key: str = "siltline-surrogates", text: st
     mentions = place.keep(
         hashed.where(hinted).select("doc_id", quoted(names["row_hash"]).alias("row_hash"), found.alias("found"))
         .select("doc_id", "row_hash", F.explode(F.array_distinct("found")).alias("mention")).distinct()
-        .select("doc_id", "row_hash", "mention", entities_of(F.col("mention")).alias("parts")),
+        .select("doc_id", "row_hash", "mention", kind_of(F.col("mention")).alias("kind")),
         "mentions",
     )
-    entities = place.keep(mentions.select(F.explode("parts").alias("e")).select("e.kind", "e.form").distinct(), "entities")
+    # Each mention once, however many rows have it.
+    parts = mentions.select("mention", "kind").distinct()
+    parts = place.keep(parts.select("mention", F.col("kind").alias("mention_kind"), F.posexplode(entities_of(F.col("mention"), F.col("kind"))).alias("at", "e")), "parts")
+    entities = place.keep(parts.select("e.kind", "e.form").distinct(), "entities")
     made = assign(entities, key, place)
-    parts = mentions.select("doc_id", "row_hash", "mention", F.posexplode("parts").alias("at", "e"))
     joined = parts.join(made, (F.col("e.kind") == made["kind"]) & (F.col("e.form") == made["form"]))
-    by_mention = joined.groupBy("doc_id", "row_hash", "mention").agg(F.sort_array(F.collect_list(F.struct("at", "surrogate"))).alias("made"))
-    replaced = by_mention.select("doc_id", "row_hash", "mention", rendered(F.col("mention"), F.col("made.surrogate")).alias("instead"))
+    by_mention = joined.groupBy("mention", "mention_kind").agg(F.sort_array(F.collect_list(F.struct("at", "surrogate"))).alias("made"))
+    instead = place.keep(by_mention.select("mention", rendered(F.col("mention"), F.col("mention_kind"), F.col("made.surrogate")).alias("instead")), "instead")
+    replaced = mentions.drop("kind").join(instead, "mention")
     # A text's own mentions: no more than the text holds.
     by_row = place.keep(
         replaced.groupBy("doc_id", "row_hash").agg(F.map_from_entries(F.collect_list(F.struct("mention", "instead"))).alias("by_form")), "by-row"
     ).select(F.col("doc_id").alias(names["other_id"]), F.col("row_hash").alias(names["other_hash"]), F.col("by_form").alias(names["by_form"]))
 
-    plain = hashed.where(~F.coalesce(hinted, F.lit(False))).withColumn(names["n_entities"], F.lit(0).cast("long")).drop(names["row_hash"])
-    marked = hashed.where(hinted).withColumn(names["mentions"], found)
-    none = marked.where(F.size(quoted(names["mentions"])) == 0).withColumn(names["n_entities"], F.lit(0).cast("long"))
-    some = marked.where(F.size(quoted(names["mentions"])) > 0).join(
+    plain = docs.where(~F.coalesce(hinted & quoted(text).rlike(ANY), F.lit(False))).withColumn(names["n_entities"], F.lit(0).cast("long"))
+    some = hashed.where(hinted & quoted(text).rlike(ANY)).withColumn(names["mentions"], found).join(
         by_row, F.col("doc_id").eqNullSafe(quoted(names["other_id"])) & (quoted(names["row_hash"]) == quoted(names["other_hash"]))
     )
     between = F.split(quoted(text), ANY, -1)
@@ -245,7 +244,7 @@ def replace_entities(docs: DataFrame, key: str = "siltline-surrogates", text: st
     some = some.withColumn(text, new).withColumn(names["n_entities"], F.size(quoted(names["mentions"])).cast("long"))
     columns = [*docs.columns, names["n_entities"]]
     pick = lambda df: df.select(*[quoted(c) for c in columns])
-    return pick(plain).union(pick(none)).union(pick(some)), names["n_entities"]
+    return pick(plain).union(pick(some)), names["n_entities"]
 
 
 def op10_pii_surrogates(spark: SparkSession, folder: str) -> DataFrame:
