@@ -5,14 +5,17 @@ hash of the first round that reaches it, and bins still empty after 128 rounds g
 own, so every coordinate fills and agreement concentrates around the similarity. 32 bands of four
 coordinates find a pair at similarity 0.8 except with probability 5e-8.
 
-Equal sets are one class throughout. Classes of a small bucket are all paired; in a larger bucket all
-are paired with one that a hash picks, and what then is still apart is searched exactly by prefixes of
-rare shingles. All pairs found are confirmed on the full shingle sets, and pairs inside a component
-that is already joined are left alone: components need no more links.
+Equal sets are one class throughout. In a bucket, all classes are first paired with its least one,
+then in some turns, across components only, with others. Where a bucket then still holds different
+components, the pairs across them are looked at: all of them in a small bucket, those found by an
+exact search over prefixes of rare shingles in a larger one.
+All pairs are confirmed on the full shingle sets; pairs inside a component that is already joined are
+left alone, since components need no more links.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -25,6 +28,7 @@ from siltline.llm.common import Workspace, fresh, table
 
 COORDINATES, BANDS = 128, 32
 SMALL = 16  # members of a bucket that are all paired
+TURNS = 4  # at most, of pairing with a member chosen at random; the exact search follows anyhow
 LIKELY = 0.6  # of the coordinates; 5.7 standard deviations below similarity 0.8
 
 LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
@@ -51,6 +55,12 @@ class WordHashes(dict):
         return np.fromiter(map(self.__getitem__, words), dtype=np.uint64, count=len(words))
 
 
+@functools.lru_cache(maxsize=1)
+def word_hashes() -> WordHashes:
+    """One memory of hashes per Python worker, for all tasks that it runs."""
+    return WordHashes()
+
+
 def shingle_set(text: bytes | None, hashes: WordHashes, width: int = 4) -> np.ndarray:
     """Sorted distinct hashes of the shingles; the whole sequence as one where words are fewer."""
     words = hashes.of(text.translate(LOWER).split()) if text else np.empty(0, np.uint64)
@@ -89,7 +99,7 @@ def sketch(members: np.ndarray) -> np.ndarray:
 
 
 def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    hashes = WordHashes()
+    hashes = word_hashes()
     for batch in batches:
         n, digests, bands = [], [], []
         for text in batch.column(2):
@@ -104,7 +114,7 @@ def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    hashes = WordHashes()
+    hashes = word_hashes()
     for batch in batches:
         linked = []
         for x, y in zip(batch.column(2), batch.column(3)):
@@ -124,7 +134,7 @@ def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row per shingle of each text: node, its set's size, the shingle."""
-    hashes = WordHashes()
+    hashes = word_hashes()
     for batch in batches:
         for node, text in zip(batch.column(0).to_pylist(), batch.column(1)):
             members = shingle_set(text.as_py(), hashes)
@@ -190,31 +200,22 @@ class Groups:
         # Eight bytes of the sketch are one band: four coordinates.
         bands = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.xxhash64(i, F.substring(F.col("sketch"), i * 8 + 1, F.lit(8))))
         members = self.classes.select(F.explode(bands).alias("bucket"), "node")
-        # The member that a bucket's own order of nodes puts first.
-        buckets = keep(
-            members.groupBy("bucket")
-            .agg(F.count("*").alias("n"), F.min(F.col("node").bitwiseXOR(F.col("bucket"))).alias("least"))
-            .where("n > 1")
-            .select("bucket", "n", F.col("least").bitwiseXOR(F.col("bucket")).alias("center")),
-            "buckets",
-        )
+        buckets = members.groupBy("bucket").agg(F.count("*").alias("n"), F.min("node").alias("center")).where("n > 1")
         bucketed = keep(members.join(buckets, "bucket"), "members")
-        stars = bucketed.where("n > %d AND node <> center" % SMALL).select(F.least("node", "center").alias("a"), F.greatest("node", "center").alias("b"))
-        few = bucketed.where(f"n <= {SMALL}").select("bucket", "node")
-        dense = few.select("bucket", F.col("node").alias("a")).join(few.select("bucket", F.col("node").alias("b")), "bucket").where("a < b")
-        pairs = keep(stars.union(dense.select("a", "b")).groupBy("a", "b").agg(F.count("*").alias("shared")), "pairs")
-
-        near = keep(self._join(pairs, self.classes, "sketch", _alike).join(pairs, ["a", "b"]), "near")
-        wanted = near.select(F.col("a").alias("node")).union(near.select(F.col("b").alias("node"))).union(self._crowded(bucketed)).distinct()
+        # A text for each class in a bucket with others; repeated rows of one id and text count once.
+        wanted = bucketed.select("node").distinct()
         owners = self.classes.join(wanted, "node").select("node", F.col("first.doc_id").alias("doc_id"), F.col("first.text_hash").alias("text_hash"))
         one_text = self.docs.alias("d").join(owners.alias("o"), F.expr("d.doc_id <=> o.doc_id AND d.text_hash = o.text_hash"))
-        # Repeated rows of one id and text would bring a node twice.
         texts = keep(one_text.select("node", F.col("text").cast("binary").alias("text")).dropDuplicates(["node"]), "texts")
 
-        # Each node's likeliest partner first; then what still joins different components.
+        # First every bucket's members with its least: of these, each node's likeliest partner, then
+        # what still joins different components.
+        stars = bucketed.where("node <> center").groupBy(F.col("center").alias("a"), F.col("node").alias("b")).agg(F.count("*").alias("shared"))
+        stars = keep(stars, "stars")
+        near = keep(self._join(stars, self.classes, "sketch", _alike).join(stars, ["a", "b"]), "near")
         likeliest = F.col("shared") * (1 << 20) - F.xxhash64("a", "b") % (1 << 19)
-        ends = near.select("a", "b", F.explode(F.array("a", "b")).alias("node"), likeliest.alias("rank"))
-        first = ends.join(ends.groupBy("node").agg(F.max("rank").alias("rank")), ["node", "rank"]).select("a", "b").distinct()
+        best = near.groupBy("b").agg(F.max(likeliest).alias("rank"))
+        first = near.withColumn("rank", likeliest).join(best, ["b", "rank"]).select("a", "b")
         links = keep(self._join(first, texts, "text", _confirmed), "links-1")
         labels = self._components(links, "round-1")
         more = keep(self._join(self._apart(near.select("a", "b"), labels), texts, "text", _confirmed), "links-2")
@@ -222,38 +223,61 @@ class Groups:
             links = keep(links.union(more), "links-12")
             labels = self._components(links, "round-2")
 
-        rest = self._rest(bucketed, labels, texts)
-        if rest is not None:
-            late = keep(self._join(rest, texts, "text", _confirmed), "links-3")
-            if late.limit(1).count():
-                labels = self._components(links.union(late), "round-3")
-        place.drop("pairs", "near", "texts")
+        # The same with other members in the middle, which buckets choose by orders of their own.
+        for turn in range(TURNS):
+            rooted = bucketed.select("bucket", "node").join(labels, "node", "left").select("bucket", "node", F.coalesce("root", "node").alias("root"))
+            order = F.xxhash64("bucket", F.lit(turn))
+            middle = rooted.groupBy("bucket").agg(
+                F.min("root").alias("low"), F.max("root").alias("high"), F.min(F.col("node").bitwiseXOR(order)).alias("least")
+            ).where("low < high").select("bucket", F.col("least").bitwiseXOR(order).alias("center"))
+            around = rooted.join(middle, "bucket").where("node <> center").select(F.least("node", "center").alias("a"), F.greatest("node", "center").alias("b"))
+            apart = keep(self._apart(around.distinct(), labels), f"around-{turn}")
+            more = keep(self._join(self._join(apart, self.classes, "sketch", _alike), texts, "text", _confirmed), f"links-turn-{turn}")
+            place.drop(f"around-{turn}")
+            if not more.limit(1).count():
+                break
+            links = keep(links.union(more), f"links-all-{turn}")
+            labels = self._components(links, f"turn-{turn}")
+
+        # Then, where a bucket still holds different components, what may join them.
+        rooted = bucketed.join(labels, "node", "left").select("bucket", "n", "node", F.coalesce("root", "node").alias("root"))
+        spread = rooted.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("bucket")
+        mixed_members = keep(rooted.join(spread, "bucket", "left_semi"), "mixed")
+        few = mixed_members.where(f"n <= {SMALL}").select("bucket", "node", "root")
+        a, b = (few.select("bucket", F.col("node").alias(n), F.col("root").alias(f"root_{n}")) for n in "ab")
+        paired = keep(a.join(b, "bucket").where("a < b AND root_a <> root_b").select("a", "b").distinct(), "paired")
+        late = self._join(self._join(paired, self.classes, "sketch", _alike), texts, "text", _confirmed)
+        rest = self._rest(mixed_members.where(f"n > {SMALL}").select("node", "root").distinct(), texts)
+        late = keep(late if rest is None else late.union(self._join(rest, texts, "text", _confirmed)), "links-3")
+        if late.limit(1).count():
+            labels = self._components(links.union(late), "round-3")
+        place.drop("stars", "near", "texts", "members", "mixed")
         return labels
 
-    def _crowded(self, bucketed: DataFrame) -> DataFrame:
-        return bucketed.where(f"n > {SMALL}").select("node").distinct()
-
-    def _rest(self, bucketed: DataFrame, labels: DataFrame, texts: DataFrame) -> DataFrame | None:
+    def _rest(self, nodes: DataFrame, texts: DataFrame) -> DataFrame | None:
         """Pairs across components among the members of large buckets, searched exactly.
 
-        Sets of similarity 0.8 share a shingle among the rarest fifth (and one) of each, whatever the
-        order of the shingles is; here it is by how many of these sets hold them.
+        In any order of the shingles, sets of similarity 0.8 have their first common shingle among the
+        first fifth (and one) of the larger set and the first ninth (and one) of the smaller, and no
+        more of either behind it than their overlap needs. The order is by how many of these sets
+        hold a shingle, so common ones come last.
         """
-        rooted = bucketed.where(f"n > {SMALL}").join(labels, "node", "left").select("bucket", "node", F.coalesce("root", "node").alias("root"))
-        mixed_buckets = rooted.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
-        nodes = self.place.keep(rooted.join(mixed_buckets.select("bucket"), "bucket", "left_semi").select("node", "root").distinct(), "apart")
+        nodes = self.place.keep(nodes, "apart")
         if not nodes.limit(1).count():
             return None
         every = self.place.keep(texts.join(nodes.select("node"), "node", "left_semi").mapInArrow(_prefixes, "node long, size long, shingle long"), "shingles")
         counted = every.join(every.groupBy("shingle").agg(F.count("*").alias("df")), "shingle")
         rarest = Window.partitionBy("node").orderBy("df", "shingle")
-        kept = counted.withColumn("k", F.row_number().over(rarest)).where("k <= size - ceil(0.8 * size) + 1").join(nodes, "node")
-        # Only shingles that two components share can pair anything.
-        spanning = kept.groupBy("shingle").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("shingle")
-        kept = self.place.keep(kept.join(spanning, "shingle", "left_semi").select("shingle", "node", "root", "size"), "prefixes")
-        a, b = (kept.select("shingle", *[F.col(c).alias(f"{c}_{n}") for c in ("node", "root", "size")]) for n in "ab")
-        found = a.join(b, "shingle").where("node_a < node_b AND root_a <> root_b AND size_a >= 0.8 * size_b AND size_b >= 0.8 * size_a")
-        return self.place.keep(found.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct(), "rest")
+        kept = counted.withColumn("k", F.row_number().over(rarest)).where("5 * (k - 1) <= size").join(nodes, "node")
+        kept = self.place.keep(kept.select("shingle", "node", "root", "size", "k"), "prefixes")
+        a, b = (kept.select("shingle", *[F.col(c).alias(f"{c}_{n}") for c in ("node", "root", "size", "k")]) for n in "ab")
+        found = a.join(b.where("9 * (k_b - 1) <= size_b"), "shingle").where(
+            "root_a <> root_b AND size_a >= size_b AND 5 * size_b >= 4 * size_a AND 9 * (1 + least(size_a - k_a, size_b - k_b)) >= 4 * (size_a + size_b)"
+        )
+        ends = F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")
+        found = self.place.keep(found.select(*ends).distinct(), "rest")
+        self.place.drop("shingles", "prefixes")
+        return found
 
     def verdicts(self) -> DataFrame:
         """Per row: doc_id, text_hash, n_shingles, component_id and the first row of its component."""
