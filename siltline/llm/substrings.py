@@ -24,11 +24,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltline.llm.common import Workspace, table
-from siltline.llm.neardup import WordHashes, mixed
+from siltline.llm.neardup import mixed, word_hashes
 
 WINDOW, GRAM = 50, 12
 MOST = 2048  # stretches of one anchor in one index
 INDEX_WORDS = 400_000
+CHUNK = 100_000  # grams whose minima are taken together; places fit 17 bits
 LAST = (1 << 63) - 1  # the order of documents without an id: behind all others
 FACTOR = 0x9E3779B97F4A7C15
 
@@ -140,6 +141,21 @@ class FmIndex:
         return out
 
 
+def _least(values: np.ndarray, span: int) -> np.ndarray:
+    """Where the least value of each ``span`` consecutive ones stands, the first of equals.
+
+    Values count by their upper 47 bits, with their place below; minima from both ends of blocks of
+    ``span`` meet in every window.
+    """
+    n = len(values) - span + 1
+    placed = np.full(-(-len(values) // span) * span, np.iinfo(np.uint64).max)
+    placed[:len(values)] = (values >> np.uint64(17) << np.uint64(17)) | np.arange(len(values), dtype=np.uint64)
+    blocks = placed.reshape(-1, span)
+    ahead = np.minimum.accumulate(blocks, axis=1).ravel()
+    behind = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
+    return (np.minimum(behind[:n], ahead[span - 1:span - 1 + n]) & np.uint64((1 << 17) - 1)).astype(np.int64)
+
+
 def anchors_of(words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(anchor, first window, last window) in the order of the text."""
     n = len(words) - WINDOW + 1
@@ -150,10 +166,7 @@ def anchors_of(words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         grams = grams * np.uint64(FACTOR) + words[i:i + len(grams)]
     grams = mixed(grams)
     span = WINDOW - GRAM + 1
-    at = np.concatenate([
-        np.lib.stride_tricks.sliding_window_view(grams[a:a + 100_000 + span - 1], span).argmin(axis=1) + np.arange(a, min(a + 100_000, n))
-        for a in range(0, n, 100_000)
-    ])
+    at = np.concatenate([a + _least(grams[a:a + CHUNK + span - 1], span) for a in range(0, n, CHUNK)])
     low = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
     return grams[at[low]].view(np.int64), low, np.append(low[1:], n) - 1
 
@@ -163,7 +176,7 @@ def _words(text: bytes | None) -> list[bytes]:
 
 
 def _anchored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    hashes = WordHashes()
+    hashes = word_hashes()
     for batch in batches:
         found = [anchors_of(hashes.of(_words(t.as_py()))) for t in batch.column(2)]
         which = np.repeat(np.arange(len(found)), [len(f[0]) for f in found])
@@ -193,7 +206,7 @@ def _parted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _stretches(batches: Iterator[pa.RecordBatch], with_words: bool) -> Iterator[pa.RecordBatch]:
     """Per shared anchor of a text its stretch of words, or only the stretch's hash."""
-    hashes = WordHashes()
+    hashes = word_hashes()
     for batch in batches:
         for doc_id, text_hash, text, lows in zip(*(batch.column(i) for i in range(4))):
             words = _words(text.as_py())
@@ -213,7 +226,7 @@ def _stretches(batches: Iterator[pa.RecordBatch], with_words: bool) -> Iterator[
 
 def _matched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Index whole groups (anchor, salt) of the sorted rows and search each with its own stretches."""
-    hashes = WordHashes()
+    hashes = word_hashes()
     rows: list[tuple] = []
     size, last = 0, None
 
@@ -288,14 +301,14 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     order = F.coalesce("doc_id", F.lit(LAST)).alias("document")
     rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.col("text").cast("binary").alias("text"))
     anchors = place.keep(rows.mapInArrow(_anchored, "doc_id long, text_hash long, anchor long, low int"), "anchors")
-    shared = anchors.groupBy("anchor").agg(F.min(order).alias("a"), F.max(order).alias("b")).where("a < b").select("anchor")
+    shared = place.keep(anchors.groupBy("anchor").agg(F.min(order).alias("a"), F.max(order).alias("b")).where("a < b").select("anchor"), "shared")
     # A text's own anchors: no more than the text has words.
     lows = anchors.join(shared, "anchor").groupBy("doc_id", "text_hash").agg(F.collect_set("low").alias("lows"))
     lows = lows.select(F.col("doc_id").alias("other_id"), F.col("text_hash").alias("other_hash"), "lows")
     same = F.col("doc_id").eqNullSafe(F.col("other_id")) & (F.col("text_hash") == F.col("other_hash"))
     schema = "doc_id long, text_hash long, text binary, lows array<int>, n_words long, kept_sha256 string"
     seen = place.keep(rows.join(lows, same, "left").select("doc_id", "text_hash", "text", "lows").mapInArrow(_parted, schema), "seen")
-    place.drop("anchors")
+    place.drop("anchors", "shared")
     some = seen.where("lows IS NOT NULL")
 
     source = some.select("doc_id", "text_hash", "text", "lows")
