@@ -28,22 +28,26 @@ TAILS = {"latin": "bergner holt mann rowe stein vale wick dorf", "cyrillic": "о
 ALPHABETS = {"latin": "abdefgiklmnoprstuvz", "cyrillic": "абвгдежзиклмнопрст", "greek": "αβγδεζηικλμνοπρστ"}
 
 NAME = r"\p{Lu}[\p{L}'’-]++(?:[ ]\p{Lu}[\p{L}'’-]++){0,2}"
+# A long quoted value that is given to a secret's name; the value needs a letter, and a digit or capital.
+GIVEN = r"(?i:token|secret|passw|pwd|credential|(?:api|access|private|auth)[_-]?key)[A-Za-z0-9_-]{0,20}+[\"']?\s{0,3}[:=]{1,2}>?\s{0,3}[\"']"
+VALUE = r"(?=[^\"'\s]*[0-9A-Z])(?=[^\"'\s]*[A-Za-z])[A-Za-z0-9+/_=.~-]{16,}+(?=[\"']|\z)"
 # In order: the first pattern that matches at a place decides.
 PATTERNS = (
     ("email", r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+"),
-    ("secret", r"(?<![A-Za-z0-9])(?:AKIA[0-9A-Z]{16}|gh[pos]_[A-Za-z0-9]{36}|sk-[A-Za-z0-9]{20,64})(?![A-Za-z0-9])"),
+    ("secret", r"(?<![A-Za-z0-9])(?:AKIA[0-9A-Z]{16}|gh[pos]_[A-Za-z0-9]{36}|sk-[A-Za-z0-9]{20,64})(?![A-Za-z0-9])" + f"|{GIVEN}{VALUE}"),
     ("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[ ]?[A-Z0-9]{4}){3,7}(?:[ ]?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"),
     ("ip", r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?![0-9]|\.[0-9])"),
     ("card", r"(?<![0-9+])(?:[0-9]{4}[ -]?){3}[0-9]{4}(?![0-9])"),
     ("ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"),
-    ("phone", r"\+[0-9]{1,3}[ .-]?(?:\([0-9]{2,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,3}(?![0-9])"),
+    # 7 to 15 digits in groups of any number.
+    ("phone", r"\+[0-9](?:(?:[ .-]?\(|\)[ .-]?|[ .-])?[0-9]){6,14}(?![0-9])"),
     ("person", rf"(?<!\p{{L}})(?:{'|'.join(TITLES.values())})\.?[ ]{NAME}"),
 )
 ANY = "|".join(f"(?:{p})" for _, p in PATTERNS)
 # What stands in every match of a pattern, and is quicker to look for.
 HINTS = {
     "email": "@",
-    "secret": "AKIA|gh[pos]_|sk-",
+    "secret": r"AKIA|gh[pos]_|sk-|[:=]>?\s{0,3}[\"']",
     "iban": "[A-Z]{2}[0-9]{2}",
     "ip": r"[0-9]\.[0-9]",
     "card": "[0-9]{4}",
@@ -76,6 +80,10 @@ def bare_name(mention: Column) -> Column:
     return F.regexp_replace(mention, F.lit(rf"\A(?:{'|'.join(TITLES.values())})\.?[ ]"), F.lit(""))
 
 
+def secret_value(mention: Column) -> Column:
+    return F.regexp_replace(mention, F.lit(rf"\A{GIVEN}"), F.lit(""))
+
+
 def entities_of(mention: Column, kind: Column) -> Column:
     """The entities of a mention, each as (kind, form): a person has one for the surname and one for
     each given name, so full and short mentions agree; anything else is one entity."""
@@ -84,6 +92,7 @@ def entities_of(mention: Column, kind: Column) -> Column:
         F.when(kind.isin("card", "ssn", "phone"), digits)
         .when(kind == "iban", F.replace(mention, F.lit(" "), F.lit("")))
         .when(kind == "email", F.lower(mention))
+        .when(kind == "secret", secret_value(mention))
         .otherwise(mention)
     )
     words = F.split(bare_name(mention), " ")
@@ -102,17 +111,17 @@ def _drawn(digest: Column, i: Column, n: int) -> Column:
     return F.conv(F.substring(digest, (i * 3) % 120 + 1, F.lit(4)), 16, 10).cast("int") % n
 
 
-def _letter(c: Column, digest: Column, i: Column) -> Column:
+def _letter(c: Column, digest: Column, i: Column, small: str) -> Column:
     """Another character of the same class; anything but ASCII letters and digits stays."""
     def pick(alphabet: str) -> Column:
         return F.substring(F.lit(alphabet), _drawn(digest, i, len(alphabet)) + 1, F.lit(1))
 
-    return F.when(c.rlike("[0-9]"), pick("0123456789")).when(c.rlike("[a-z]"), pick("abcdefghijklmnopqrstuvwxyz")).when(
+    return F.when(c.rlike("[0-9]"), pick("0123456789")).when(c.rlike("[a-z]"), pick(small)).when(
         c.rlike("[A-Z]"), pick("ABCDEFGHIJKLMNOPQRSTUVWXYZ")).otherwise(c)
 
 
-def _rewritten(text: Column, digest: Column) -> Column:
-    return F.array_join(F.transform(F.split(text, ""), lambda c, i: _letter(c, digest, i)), "")
+def _rewritten(text: Column, digest: Column, small: str = "abcdefghijklmnopqrstuvwxyz") -> Column:
+    return F.array_join(F.transform(F.split(text, ""), lambda c, i: _letter(c, digest, i, small)), "")
 
 
 def _check_digit(digits: Column) -> Column:
@@ -147,7 +156,9 @@ def surrogate(kind: Column, form: Column, attempt: Column, key: str) -> Column:
         .when(kind == "iban", F.concat(F.substring(form, 1, 2), _rewritten(rest(2), digest)))
         .when(kind == "secret", F.when(form.startswith("AKIA"), F.concat(F.substring(form, 1, 4), _rewritten(rest(4), digest)))
               .when(form.startswith("sk-"), F.concat(F.substring(form, 1, 3), _rewritten(rest(3), digest)))
-              .otherwise(F.concat(F.substring(form, 1, 4), _rewritten(rest(4), digest))))
+              .when(form.rlike(r"\Agh[pos]_"), F.concat(F.substring(form, 1, 4), _rewritten(rest(4), digest)))
+              .when(form.rlike(r"\A[0-9a-f]+\z"), _rewritten(form, digest, "abcdef"))
+              .otherwise(_rewritten(form, digest)))
     )
     for script, alphabet in ALPHABETS.items():
         tails = F.array(*[F.lit(t) for t in TAILS[script].split()])
@@ -208,6 +219,7 @@ def rendered(mention: Column, kind: Column, made: Column) -> Column:
         F.when(kind.isin("card", "ssn", "phone", "iban"), places)
         .when(kind == "email", cased)
         .when(kind == "person", F.concat(title, F.array_join(made, " ")))
+        .when(kind == "secret", F.concat(F.substr(mention, F.lit(1), F.char_length(mention) - F.char_length(secret_value(mention))), made[0]))
         .otherwise(made[0])
     )
 
