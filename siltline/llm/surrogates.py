@@ -4,7 +4,8 @@ Entities are found by pattern, brought to one form (so a mention's punctuation o
 another entity), and each distinct entity gets one surrogate from a keyed digest. A surrogate has the
 type, length, script and, for names, the gender of its entity; it is put into each mention in that
 mention's own format. Surrogates that two entities share, or that are entities themselves, are drawn
-again until none is left, so distinct entities stay distinct and mentions of one stay the same.
+again until none is left, so distinct entities stay distinct and mentions of one stay the same. The words
+of a name found behind a title are replaced wherever else they stand in that row.
 """
 
 from __future__ import annotations
@@ -27,7 +28,9 @@ NAMES = {
 TAILS = {"latin": "bergner holt mann rowe stein vale wick dorf", "cyrillic": "ов ин ский енко евич ман ук ян", "greek": "ίδης όπουλος άκης ίδου άς έας άκος ής"}
 ALPHABETS = {"latin": "abdefgiklmnoprstuvz", "cyrillic": "абвгдежзиклмнопрст", "greek": "αβγδεζηικλμνοπρστ"}
 
-NAME = r"\p{Lu}[\p{L}'’-]++(?:[ ]\p{Lu}[\p{L}'’-]++){0,2}"
+# A genitive's 's is no part of the name.
+WORD = r"\p{Lu}(?:\p{L}|['’-](?=\p{L})(?!s(?!\p{L})))++"
+NAME = rf"{WORD}(?:[ ]{WORD}){{0,2}}"
 # A long quoted value that is given to a secret's name; the value needs a letter, and a digit or capital.
 GIVEN = r"(?i:token|secret|passw|pwd|credential|(?:api|access|private|auth)[_-]?key)[A-Za-z0-9_-]{0,20}+[\"']?\s{0,3}[:=]{1,2}>?\s{0,3}[\"']"
 VALUE = r"(?=[^\"'\s]*[0-9A-Z])(?=[^\"'\s]*[A-Za-z])[A-Za-z0-9+/_=.~-]{16,}+(?=[\"']|\z)"
@@ -224,6 +227,44 @@ def rendered(mention: Column, kind: Column, made: Column) -> Column:
     )
 
 
+def name_words(mention: Column, kind: Column, made: Column) -> Column:
+    """The words of a person's mention, each as (word, whether it is a given name, title's rank, surrogate)."""
+    words = F.split(bare_name(mention), " ")
+    rank = F.when(gender_of(mention) == "f", 0).when(gender_of(mention) == "m", 1).otherwise(2)
+    each = F.transform(
+        words,
+        lambda w, i: F.struct(w.alias("word"), (i < F.size(words) - 1).alias("given"), rank.alias("rank"), F.get(made, i).alias("surrogate")),
+    )
+    return F.when(kind == "person", each).otherwise(F.slice(each, 1, 0))
+
+
+def words_of(words: Column, surname: bool) -> Column:
+    """Map from the words that are surnames (or given names) of a row to their surrogates; where titles
+    differ, the first of sorted ``words`` decides."""
+    mine = F.filter(words, lambda w: w["given"] != F.lit(surname))
+    first = F.filter(mine, lambda w, i: (i == 0) | (F.get(mine, F.greatest(i - 1, F.lit(0)))["word"] != w["word"]))
+    return F.map_from_entries(F.transform(first, lambda w: F.struct(w["word"], w["surrogate"])))
+
+
+def any_or_words(words: Column) -> Column:
+    """A pattern of mentions and of runs of ``words``, longer words first."""
+    longest = F.transform(F.reverse(F.array_sort(F.transform(words, lambda w: F.struct(F.char_length(w).alias("n"), w.alias("w"))))), lambda x: x["w"])
+    one = F.concat(F.lit("(?:"), F.array_join(longest, "|"), F.lit(r")(?!\p{L})"))
+    return F.when(F.size(words) > 0, F.concat(F.lit(ANY + r"|(?<!\p{L})"), one, F.lit("(?:[ ]"), one, F.lit(")*+"))).otherwise(F.lit(ANY))
+
+
+def bare_rendered(run: Column, surnames: Column, given: Column) -> Column:
+    """A run of names without a title: the last word is a surname if it can be, the others given names."""
+    words = F.split(run, " ")
+    return F.array_join(
+        F.transform(
+            words,
+            lambda w, i: F.when(i == F.size(words) - 1, F.coalesce(F.element_at(surnames, w), F.element_at(given, w)))
+            .otherwise(F.coalesce(F.element_at(given, w), F.element_at(surnames, w))),
+        ), " "
+    )
+
+
 def replace_entities(docs: DataFrame, key: str = "siltline-surrogates", text: str = "text") -> tuple[DataFrame, str]:
     """``docs`` with surrogates in ``text``, and the name of a further column that counts the mentions.
 
@@ -231,7 +272,7 @@ def replace_entities(docs: DataFrame, key: str = "siltline-surrogates", text: st
     ids are told apart by a hash of their text; an empty table gives no rows.
     """
     spark, place = docs.sparkSession, Workspace(docs.sparkSession, "surrogates")
-    names = {c: fresh(docs.columns, c) for c in ("n_entities", "row_hash", "mentions", "by_form", "other_id", "other_hash")}
+    names = {c: fresh(docs.columns, c) for c in ("n_entities", "row_hash", "mentions", "by_form", "surnames", "given", "pattern", "other_id", "other_hash")}
     hashed = docs.withColumn(names["row_hash"], F.xxhash64(quoted(text)))
     hinted = quoted(text).rlike(HINT)
     found = F.when(hinted, F.regexp_extract_all(quoted(text), F.lit(ANY), F.lit(0))).otherwise(F.array().cast("array<string>"))
@@ -248,20 +289,35 @@ def replace_entities(docs: DataFrame, key: str = "siltline-surrogates", text: st
     made = assign(entities, key, place)
     joined = parts.join(made, (F.col("e.kind") == made["kind"]) & (F.col("e.form") == made["form"]))
     by_mention = joined.groupBy("mention", "mention_kind").agg(F.sort_array(F.collect_list(F.struct("at", "surrogate"))).alias("made"))
-    instead = place.keep(by_mention.select("mention", rendered(F.col("mention"), F.col("mention_kind"), F.col("made.surrogate")).alias("instead")), "instead")
-    replaced = mentions.drop("kind").join(instead, "mention")
-    # A text's own mentions: no more than the text holds.
-    by_row = place.keep(
-        replaced.groupBy("doc_id", "row_hash").agg(F.map_from_entries(F.collect_list(F.struct("mention", "instead"))).alias("by_form")), "by-row"
-    ).select(F.col("doc_id").alias(names["other_id"]), F.col("row_hash").alias(names["other_hash"]), F.col("by_form").alias(names["by_form"]))
+    instead = place.keep(
+        by_mention.select(
+            "mention", rendered(F.col("mention"), F.col("mention_kind"), F.col("made.surrogate")).alias("instead"),
+            name_words(F.col("mention"), F.col("mention_kind"), F.col("made.surrogate")).alias("words"),
+        ),
+        "instead",
+    )
+    replaced = mentions.join(instead, "mention")
+    # A text's own mentions, and the words of its names: no more than the text holds.
+    by_row = replaced.groupBy("doc_id", "row_hash").agg(
+        F.map_from_entries(F.collect_list(F.struct("mention", "instead"))).alias("by_form"),
+        F.array_sort(F.flatten(F.collect_list(F.col("words")))).alias("words"),
+    )
+    last, any_place = (words_of(F.col("words"), surname) for surname in (True, False))
+    by_row = place.keep(by_row.select("doc_id", "row_hash", "by_form", last.alias("surnames"), any_place.alias("given")), "by-row").select(
+        *[F.col(c).alias(names[n]) for c, n in (("doc_id", "other_id"), ("row_hash", "other_hash"), ("by_form", "by_form"), ("surnames", "surnames"), ("given", "given"))]
+    )
 
     plain = docs.where(~F.coalesce(hinted & quoted(text).rlike(ANY), F.lit(False))).withColumn(names["n_entities"], F.lit(0).cast("long"))
-    some = hashed.where(hinted & quoted(text).rlike(ANY)).withColumn(names["mentions"], found).join(
+    some = hashed.where(hinted & quoted(text).rlike(ANY)).join(
         by_row, F.col("doc_id").eqNullSafe(quoted(names["other_id"])) & (quoted(names["row_hash"]) == quoted(names["other_hash"]))
     )
-    between = F.split(quoted(text), ANY, -1)
+    surnames, given, by_form = (quoted(names[n]) for n in ("surnames", "given", "by_form"))
+    pattern = any_or_words(F.map_keys(F.map_concat(surnames, F.map_filter(given, lambda k, v: ~F.map_contains_key(surnames, k)))))
+    some = some.withColumn(names["pattern"], pattern).withColumn(names["mentions"], F.regexp_extract_all(quoted(text), quoted(names["pattern"]), F.lit(0)))
+    between = F.split(quoted(text), quoted(names["pattern"]), -1)
     new = F.array_join(
-        F.zip_with(between, F.transform(quoted(names["mentions"]), lambda m: F.element_at(quoted(names["by_form"]), m)), lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), ""
+        F.zip_with(between, F.transform(quoted(names["mentions"]), lambda m: F.coalesce(F.element_at(by_form, m), bare_rendered(m, surnames, given))),
+                   lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), ""
     )
     some = some.withColumn(text, new).withColumn(names["n_entities"], F.size(quoted(names["mentions"])).cast("long"))
     columns = [*docs.columns, names["n_entities"]]

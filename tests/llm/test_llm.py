@@ -438,6 +438,28 @@ def test_whole_phones_and_given_secrets(spark):
     assert all(got[i + len(phones) + len(secrets)] == (f"so {m} it", 0) for i, m in enumerate(clean))
 
 
+def test_names_without_title(spark):
+    texts = [
+        "Mrs. Anna Smith came. Anna Smith said that Smith left, Anna's and Smith's too; Smithson, Annabel and smith stayed. Mrs. Smith's end.",
+        "Smith was here, not Anna.",
+        "Yesterday Smith-Jones and Jones met Dr. Maria Smith-Jones (Maria). Mr Bob Jones. Jones Smith",
+        "Mr Smith Jones and Mr Tom Smith: Smith Jones, Tom Smith, Mr I Am: I",
+        "Господин Иванов: Иванов, Иванова",
+    ]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out, count = surrogates.replace_entities(frame)
+    got = {r["doc_id"]: (r["text"], r[count]) for r in out.collect()}
+    m = re.fullmatch(r"Mrs\. (\S+) (\S+) came\. (\S+) (\S+) said that (\S+) left, (\S+)'s and (\S+)'s too; Smithson, Annabel and smith stayed\. Mrs\. (\S+)'s end\.", got[0][0])
+    assert m and m[1] == m[3] == m[6] and {m[i] for i in (2, 4, 5, 7, 8)} == {m[2]} and m[1] != "Anna" and m[2] != "Smith" and got[0][1] == 6
+    assert got[1] == (texts[1], 0)
+    n = re.fullmatch(r"Yesterday (\S+) and (\S+) met Dr\. (\S+) (\S+) \((\S+)\)\. Mr (\S+) (\S+)\. (\S+) Smith", got[2][0])
+    assert n and n[1] == n[4] and n[2] == n[7] == n[8] != n[1] and n[3] == n[5] and "Jones" not in got[2][0] and got[2][1] == 6
+    k = re.fullmatch(r"Mr (\S+) (\S+) and Mr (\S+) (\S+): (\S+) (\S+), (\S+) (\S+), Mr \S+ \S+: I", got[3][0])
+    assert k and (k[5], k[6], k[7], k[8]) == (k[1], k[2], k[3], k[4]) and k[4] == m[2]
+    o = re.fullmatch(r"Господин (\S+): (\S+), Иванова", got[4][0])
+    assert o and o[1] == o[2] != "Иванов"
+
+
 def test_surrogates_stay_distinct(spark):
     from siltline.llm.common import Workspace
 
