@@ -142,6 +142,9 @@ def _check_digit(digits: Column) -> Column:
 def surrogate(kind: Column, form: Column, attempt: Column, key: str) -> Column:
     """What stands for an entity's form."""
     digest = F.sha2(F.concat_ws("\0", F.lit(key), kind, form, attempt.cast("string")), 512)
+    # Where few forms of this length exist, later attempts are longer, so that a free one is found.
+    more = F.when(attempt < 6, 0).otherwise(F.floor(attempt / 3) - 1).cast("int")
+    digits = _rewritten(F.repeat(F.lit("0"), more), F.sha2(digest, 512))
     rest = lambda skip: F.substr(form, F.lit(skip + 1))
     octets = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(3)), lambda i: (_drawn(digest, i, 254) + 1).cast("string")), ".")
     head = F.concat(F.substring(form, 1, 1), _rewritten(F.substr(form, F.lit(2), F.char_length(form) - 2), digest))
@@ -150,12 +153,13 @@ def surrogate(kind: Column, form: Column, attempt: Column, key: str) -> Column:
     local, domain = F.substring_index(form, "@", 1), F.substring_index(form, "@", -1)
     top = F.substring_index(domain, ".", -1)
     host = F.substr(domain, F.lit(1), F.char_length(domain) - F.char_length(top))
-    email = F.concat(_rewritten(F.concat(local, F.lit("@"), host), digest), top)
+    email = F.concat(_rewritten(F.concat(local, F.repeat(F.lit("a"), more), F.lit("@"), host), digest), top)
     out = (
         F.when(kind == "email", email)
         .when(kind == "ip", octets)
         .when(kind == "card", card)
-        .when(kind == "phone", F.concat(F.substring(form, 1, 1), _rewritten(rest(1), digest)))
+        .when(kind == "phone", F.concat(F.substring(form, 1, 1), _rewritten(rest(1), digest), digits))
+        .when(kind == "ssn", F.concat(_rewritten(form, digest), digits))
         .when(kind == "iban", F.concat(F.substring(form, 1, 2), _rewritten(rest(2), digest)))
         .when(kind == "secret", F.when(form.startswith("AKIA"), F.concat(F.substring(form, 1, 4), _rewritten(rest(4), digest)))
               .when(form.startswith("sk-"), F.concat(F.substring(form, 1, 3), _rewritten(rest(3), digest)))
@@ -166,7 +170,7 @@ def surrogate(kind: Column, form: Column, attempt: Column, key: str) -> Column:
     for script, alphabet in ALPHABETS.items():
         tails = F.array(*[F.lit(t) for t in TAILS[script].split()])
         stem = F.array_join(
-            F.transform(F.sequence(F.lit(0), F.lit(4)), lambda i: F.substring(F.lit(alphabet), _drawn(digest, i, len(alphabet)) + 1, F.lit(1))), ""
+            F.transform(F.sequence(F.lit(0), more + 4), lambda i: F.substring(F.lit(alphabet), _drawn(digest, i, len(alphabet)) + 1, F.lit(1))), ""
         )
         out = out.when(kind == f"surname:{script}", F.concat(F.initcap(stem), F.element_at(tails, _drawn(digest, F.lit(9), 8) + 1)))
         for gender in "fmn":
@@ -204,7 +208,7 @@ def assign(entities: DataFrame, key: str, keep: Workspace) -> DataFrame:
 
 def rendered(mention: Column, kind: Column, made: Column) -> Column:
     """A mention with the surrogates of its entities (array of strings) in its own format."""
-    # Digit kinds: the n-th digit of the mention becomes the n-th of the surrogate.
+    # Digit kinds: the n-th digit of the mention becomes the n-th of the surrogate; a longer one ends behind it.
     places = F.aggregate(
         F.split(mention, ""),
         F.struct(F.lit(0).alias("n"), F.lit("").alias("out")),
@@ -212,7 +216,8 @@ def rendered(mention: Column, kind: Column, made: Column) -> Column:
             (s["n"] + F.when(c.rlike("[0-9A-Z]"), 1).otherwise(0)).alias("n"),
             F.concat(s["out"], F.when(c.rlike("[0-9A-Z]"), F.substring(made[0], s["n"] + 1, F.lit(1))).otherwise(c)).alias("out"),
         ),
-    )["out"]
+        lambda s: F.concat(s["out"], F.substr(made[0], s["n"] + 1)),
+    )
     # An upper-case letter of an address stays upper case where the surrogate has as many letters.
     cased = F.array_join(
         F.transform(F.split(made[0], ""), lambda c, i: F.when(F.substring(mention, i + 1, F.lit(1)).rlike("[A-Z]"), F.upper(c)).otherwise(c)), ""

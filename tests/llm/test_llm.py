@@ -471,6 +471,17 @@ def test_surrogates_stay_distinct(spark):
     assert not {(r["kind"], r["surrogate"]) for r in made} & set(rows)
 
 
+def test_surrogates_where_no_form_is_free(spark):
+    from siltline.llm.common import Workspace
+
+    rows = [("email", f"{i}@{j}.de") for i in range(10) for j in range(10)] + [(k, f"1{i:02}") for k in ("phone", "ssn") for i in range(100)]
+    made = surrogates.assign(spark.createDataFrame(rows, "kind string, form string"), "key", Workspace(spark, "test")).collect()
+    assert len(made) == len(rows) == len({(r["kind"], r["surrogate"]) for r in made}) and not {(r["kind"], r["surrogate"]) for r in made} & set(rows)
+    assert all(r["surrogate"].startswith("1") for r in made if r["kind"] == "phone")
+    longer = surrogates.rendered(F.lit("+1 (23) 4"), F.lit("phone"), F.array(F.lit("156789")))
+    assert spark.range(1).select(longer).first()[0] == "+1 (56) 789"
+
+
 # ---- the pipeline
 
 
