@@ -152,10 +152,25 @@ def kd_shards(docs: DataFrame, shards: int | None = 24, target_bytes: int | None
     categories share a place, rows equal in every column share a shard, an empty table gives no rows.
     Other columns are ignored. Slots count a shard's rows by doc_id, checksum and size.
     """
-    tree, _, rows = shard_tree(docs, shards, target_bytes, dimensions)
-    placed = tree.place(rows, "keys", "shard")
-    by_shard = Window.partitionBy("shard").orderBy(F.col("doc_id").asc_nulls_first(), "text_crc32", "size")
-    return placed.select("doc_id", "size", "text_crc32", "shard", (F.row_number().over(by_shard) - 1).cast("long").alias("slot"))
+    keep = Workspace(docs.sparkSession, "kd")
+    tree, _, rows = shard_tree(docs, shards, target_bytes, dimensions, keep)
+    return with_slots(tree.place(rows, "keys", "shard").drop("keys"), keep)
+
+
+def with_slots(placed: DataFrame, keep: Workspace) -> DataFrame:
+    """``placed`` (doc_id, size, text_crc32, shard) with ``slot``: rows are sorted by range, so that no
+    task's rows grow with a shard, and numbered from what the ranges before hold of their shard."""
+    order = [F.col("shard"), F.col("doc_id").asc_nulls_first(), F.col("text_crc32"), F.col("size")]
+    # The number of ranges is the session's; ids count up within a range and hold its number above 33 bits.
+    ranged = placed.repartitionByRange(int(placed.sparkSession.conf.get("spark.sql.shuffle.partitions")), *order).sortWithinPartitions(*order)
+    at = F.monotonically_increasing_id()
+    numbered = keep.keep(ranged.withColumn("at", at).withColumn("range", F.shiftright("at", 33)), "slots")
+    counts = numbered.groupBy("shard", "range").agg(F.count("*").alias("n"), F.min("at").alias("first"))
+    # One row per shard and range: at most shards + ranges - 1 rows.
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("shard").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    bases = counts.select(F.col("shard").alias("of_shard"), F.col("range").alias("of_range"), (before - F.col("first")).alias("base"))
+    joined = numbered.join(F.broadcast(bases), (F.col("shard") == F.col("of_shard")) & (F.col("range") == F.col("of_range")))
+    return joined.select("doc_id", "size", "text_crc32", "shard", (F.col("at") + F.col("base")).cast("long").alias("slot"))
 
 
 def with_shard(docs: DataFrame, shards: int | None = 24, target_bytes: int | None = None) -> DataFrame:

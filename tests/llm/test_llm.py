@@ -277,6 +277,21 @@ def test_shards(spark, odd, nothing):
     assert sharding.kd_shards(docs, target_bytes=500_000).select("shard").distinct().count() == 5
 
 
+def test_slots_by_ranges(spark, odd):
+    from siltline.llm.common import Workspace
+
+    r = random.Random(7)
+    rows = [(r.choice([None, *range(300)]), r.randint(0, 9), r.randint(0, 5), r.choice([0, 0, 0, 0, 1, 2])) for _ in range(2000)]
+    got = sharding.with_slots(spark.createDataFrame(rows, "doc_id long, size long, text_crc32 long, shard int"), Workspace(spark, "test"))
+    assert "row_number" not in got._jdf.queryExecution().optimizedPlan().toString()
+    want = []
+    for shard in range(3):
+        mine = sorted((x for x in rows if x[3] == shard), key=lambda x: (x[0] is not None, x[0] or 0, x[2], x[1]))
+        want += [(*x, slot) for slot, x in enumerate(mine)]
+    key = lambda x: (x[3], x[4])
+    assert sorted((tuple(x) for x in got.collect()), key=key) == sorted(want, key=key)
+
+
 # ---- 8
 
 
