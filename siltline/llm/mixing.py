@@ -2,8 +2,8 @@
 
 The corpus is folded to its cells (source, language, topic). Raking moves the cells' inclusion
 probabilities to one margin after the other until the tokens expected of every source, language and
-topic are its target; a probability never passes 1, so a category with too few tokens is taken whole
-and the others take the rest of the budget. Documents are then sampled by their cell's probability
+topic are its target; a probability never passes 1, so a category with too few tokens is taken whole,
+and what it lacks is given to nobody. Documents are then sampled by their cell's probability
 with a number drawn from a hash of their id. Only built-in expressions run.
 """
 
