@@ -788,6 +788,20 @@ def approved_schema(spark, folder):
     )
 
 
+@query
+def approved_schema_gated(spark, folder):
+    """The approved schema through its gate, over a review in which every file is approved."""
+    complete = reviewed(spark, folder).where("review_status = 'APPROVED'")
+    return review.approved_schema(complete).select(
+        "file_name", "column_name", "defined_sql_type", "final_sql_type", "override_sql_type", "nullability", "confidence_pct"
+    )
+
+
+@query
+def blocking_files(spark, folder):
+    return review.blocking_files(reviewed(spark, folder))
+
+
 @query
 def review_top_columns(spark, folder):
     return review.columns_to_review(reviewed(spark, folder), limit=3).select(

@@ -869,6 +869,11 @@ def statements() -> dict[str, str]:
         "approved_schema": f"""
           SELECT file_name, column_name, defined_sql_type, final_sql_type, override_sql_type, nullability, confidence_pct
           FROM ({REVIEWED}) WHERE review_status = 'APPROVED'""",
+        "approved_schema_gated": f"""
+          SELECT file_name, column_name, defined_sql_type, final_sql_type, override_sql_type, nullability, confidence_pct
+          FROM ({REVIEWED}) WHERE review_status = 'APPROVED'""",
+        "blocking_files": f"""
+          SELECT DISTINCT file_name, review_status FROM ({REVIEWED}) WHERE review_status IN ('PENDING', 'REJECTED')""",
         "review_top_columns": f"""
           SELECT file_name, column_name, confidence_pct, cast(rn AS integer) AS review_rank FROM (
             SELECT *, row_number() OVER (PARTITION BY file_name ORDER BY override_sql_type IS NULL, confidence_pct >= 95, confidence_pct, column_name) AS rn

@@ -440,3 +440,11 @@ def test_approval_has_a_time_and_file_notes(spark):
     assert got["g"].approved_at_utc is None and got["g"].file_review_notes == ""
     with pytest.raises(ValueError, match="g .REJECTED"):
         review.approved_schema(review.apply_decisions(columns, files, decided_at=moment))
+
+
+def test_gate_of_the_approved_schema_is_registered(spark):
+    from siltline.plans.catalog import QUERIES
+
+    folder = "/root/testdata/sf0.001"
+    open_files = {r.review_status for r in QUERIES["blocking_files"](spark, folder).collect()}
+    assert open_files == {"PENDING", "REJECTED"} and QUERIES["approved_schema_gated"](spark, folder).count() > 0
