@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from siltline.llm.bpe import op11_bpe_codec
 from siltline.llm.chat import OP6_SQL, op6_chat_formatting
 from siltline.llm.contamination import OP8_SQL, op8_decontamination
+from siltline.llm.infill import OP13_SQL, op13_fill_in_middle
 from siltline.llm.mixing import OP2_SQL, op2_mixing
 from siltline.llm.neardup import op9_minhash_neardup
 from siltline.llm.quality import OP4_SQL, op4_quality_rules
@@ -24,6 +26,8 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_minhash_neardup": op9_minhash_neardup,
     "op10_pii_surrogates": op10_pii_surrogates,
+    "op11_bpe_codec": op11_bpe_codec,
+    "op13_fill_in_middle": op13_fill_in_middle,
 }
 
 SQL = {
@@ -31,4 +35,5 @@ SQL = {
     "op4_quality_rules": OP4_SQL,
     "op6_chat_formatting": OP6_SQL,
     "op8_decontamination": OP8_SQL,
+    "op13_fill_in_middle": OP13_SQL,
 }
