@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from siltline.llm.bpe import op11_bpe_codec
 from siltline.llm.chat import OP6_SQL, op6_chat_formatting
+from siltline.llm.collocations import OP12_SQL, op12_collocations
 from siltline.llm.contamination import OP8_SQL, op8_decontamination
 from siltline.llm.infill import OP13_SQL, op13_fill_in_middle
 from siltline.llm.mixing import OP2_SQL, op2_mixing
@@ -27,6 +28,7 @@ QUERIES = {
     "op9_minhash_neardup": op9_minhash_neardup,
     "op10_pii_surrogates": op10_pii_surrogates,
     "op11_bpe_codec": op11_bpe_codec,
+    "op12_collocations": op12_collocations,
     "op13_fill_in_middle": op13_fill_in_middle,
 }
 
@@ -35,5 +37,6 @@ SQL = {
     "op4_quality_rules": OP4_SQL,
     "op6_chat_formatting": OP6_SQL,
     "op8_decontamination": OP8_SQL,
+    "op12_collocations": OP12_SQL,
     "op13_fill_in_middle": OP13_SQL,
 }
