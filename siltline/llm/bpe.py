@@ -28,8 +28,8 @@ from siltline.llm.common import table
 SINGLE = 0x300  # below it a character is lower-cased alone and composes with nothing
 PLAIN = 0x530  # below it the pattern's classes are tabulated
 SLICE = 1_000_000  # characters that are normalized and matched at a time
-FLUSH = 1_500_000  # pieces that are merged and returned at a time
-REMEMBERED = 500_000  # distinct pieces of a worker, and as many runs with other characters
+FLUSH = 300_000  # pieces that are merged and returned at a time
+REMEMBERED = 200_000  # distinct pieces of a worker, and as many runs with other characters
 NEVER = np.int64(1) << np.int64(40)
 # Fixed by byte-level vocabularies: bytes that stand for themselves; the others follow from 256 on.
 SELF_BYTES = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -236,11 +236,6 @@ def _encoder(tokenizer_json: str) -> Encoder:
     return Encoder(tokenizer_json)
 
 
-@functools.lru_cache(maxsize=1)
-def _vocabulary(tokenizer_json: str) -> Vocabulary:
-    return Vocabulary(json.loads(tokenizer_json))
-
-
 def _description(tokenizer_path: str) -> str:
     with open(tokenizer_path, encoding="utf-8") as source:
         content = source.read()  # the vocabulary, of a size that does not depend on the corpus
@@ -285,10 +280,10 @@ def decode_ids(encoded: DataFrame, tokenizer_path: str) -> DataFrame:
 
     Null lists and lists without ids give an empty text; null and unknown ids are passed over.
     """
-    shared = encoded.sparkSession.sparkContext.broadcast(_description(tokenizer_path))
+    shared = encoded.sparkSession.sparkContext.broadcast(Vocabulary(json.loads(_description(tokenizer_path))).names)
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = _vocabulary(shared.value).names
+        names = shared.value
         for whole in batches:
             # A few rows at a time; a text of any length is one value all the same.
             sizes = pc.fill_null(pc.list_value_length(whole.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
