@@ -6,8 +6,8 @@ passes count words, then pairs of frequent words, then longer phrases all of who
 since no phrase is more frequent than its parts; what is frequent is passed on as a bitmap of fixed
 size, which may let more through but never less.
 
-What is shuffled is a row per fingerprint and chunk of text: its count, the key of a document that
-holds it, and the least and greatest of a second fingerprint. In a chunk all occurrences are compared
+What is shuffled is a row per fingerprint and chunk of text: its count, and the least and greatest of a
+second fingerprint with the key of a document that holds it (32 bits of each in one number). In a chunk all occurrences are compared
 word by word; between chunks, different second fingerprints betray a collision. Colliding ones are
 counted again by their words. Only frequent phrases become text, out of the documents pointed to.
 """
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from siltline.llm.common import Workspace, table
 
 LONGEST = 5
-CHUNK = 8 << 20  # bytes of text whose fingerprints are folded before the shuffle
+CHUNK = 5 << 20  # bytes of text whose fingerprints are folded before the shuffle
 SLOTS = 1 << 27  # bits of a bitmap: 16 MB, whatever the corpus
 PARTS = 64  # in which each language's best are found before they are merged
 BREAKS = b".,;:!?\n\x0b\x0c\r"
@@ -43,7 +43,7 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 
 def _folded() -> list[Column]:
-    return [F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"), F.min("doc").alias("doc")]
+    return [F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high")]
 
 
 def _best_first() -> list[Column]:
@@ -121,7 +121,7 @@ class Chunk:
         return out
 
     def fold(self, at: np.ndarray, n: int, weights: np.ndarray) -> dict[str, np.ndarray]:
-        """One entry per fingerprint: count, least and greatest second fingerprint, a document."""
+        """One entry per fingerprint: count, least and greatest second fingerprint with a document."""
         prints, checks = self.prints(at, n)
         order = np.argsort(prints, kind="stable")
         prints, checks, at = prints[order], checks[order], at[order]
@@ -131,8 +131,9 @@ class Chunk:
         mixed = np.unique(group[self._unlike(at, at[starts][group], n)])
         same = mixed[low[mixed] == high[mixed]]  # both fingerprints collide
         low[same], high[same] = np.iinfo(np.int32).min, np.iinfo(np.int32).max
-        docs = self.keys[self.doc[at[starts]]]
-        return {"fp": prints[starts].view(np.int64), "n": np.add.reduceat(weights[order], starts), "low": low, "high": high, "doc": docs}
+        doc = self.keys[self.doc[at[starts]]] & 0xFFFFFFFF
+        low, high = ((x.astype(np.int64) << 32) | doc for x in (low, high))
+        return {"fp": prints[starts].view(np.int64), "n": np.add.reduceat(weights[order], starts), "low": low, "high": high}
 
     def distinct(self, at: np.ndarray, n: int, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """A place of each different phrase among these, and its count."""
@@ -210,7 +211,7 @@ class Phrases:
                     if len(at):
                         yield pa.RecordBatch.from_pydict(chunk.fold(at, n, weights))
 
-        rows = self.docs.mapInArrow(run, "fp long, n long, low int, high int, doc long")
+        rows = self.docs.mapInArrow(run, "fp long, n long, low long, high long")
         return self.place.keep(rows.groupBy("fp").agg(*_folded()).where(F.col("n") >= self.least), name)
 
     def _texts(self, bitmap: Broadcast, words: Broadcast, pairs: Broadcast, documents: Broadcast | None) -> DataFrame:
@@ -246,11 +247,13 @@ class Phrases:
         more = self._count(range(3, LONGEST + 1), "more", words, pairs)
         # Phrases of two passes that share a fingerprint are told apart by their words too.
         every = ones.union(twos).union(more).groupBy("fp").agg(*_folded(), F.count("*").alias("passes"))
-        every = self.place.keep(every.withColumn("apart", (F.col("low") < F.col("high")) | (F.col("passes") > 1)), "frequent")
+        check, last, doc = F.shiftright("low", 32), F.shiftright("high", 32), F.col("low").bitwiseAND(0xFFFFFFFF)
+        every = every.select("fp", "n", check.cast("int").alias("check"), doc.alias("doc"), ((check < last) | (F.col("passes") > 1)).alias("apart"))
+        every = self.place.keep(every, "frequent")
         sure, apart = every.where("NOT apart"), every.where("apart")
         pointers, documents = self._bitmap(sure, F.col("fp").bitwiseXOR(F.col("doc"))), self._bitmap(sure, F.col("doc"))
         texts = self._texts(pointers, words, pairs, documents).drop("n").distinct()
-        found = texts.join(sure.select("fp", "n", F.col("low").alias("check")), ["fp", "check"]).select("lang", "words", "phrase", F.col("n").alias("f"))
+        found = texts.join(sure.select("fp", "n", "check"), ["fp", "check"]).select("lang", "words", "phrase", F.col("n").alias("f"))
         if apart.limit(1).count():
             again = self._texts(self._bitmap(apart, F.col("fp")), words, pairs, None).join(apart.select("fp"), "fp", "left_semi")
             again = again.groupBy("lang", "words", "phrase").agg(F.sum("n").alias("f"))
