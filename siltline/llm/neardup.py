@@ -5,8 +5,9 @@ hash of the first round that reaches it, and bins still empty after 128 rounds g
 own, so every coordinate fills and agreement concentrates around the similarity. 32 bands of four
 coordinates find a pair at similarity 0.8 except with probability 5e-8.
 
-Equal sets are one class throughout. In a bucket, all classes are first paired with its least one,
-then in some turns, across components only, with others. Where a bucket then still holds different
+Equal sets are one class throughout. In a bucket, all classes first meet its least one, then in some
+turns, across components only, others; a class is compared with the one that it meets in most of its
+buckets. Where a bucket then still holds different
 components, the pairs across them are looked at: all of them in a small bucket, those found by an
 exact search over prefixes of rare shingles in a larger one.
 All pairs are confirmed on the full shingle sets; pairs inside a component that is already joined are
@@ -16,6 +17,7 @@ left alone, since components need no more links.
 from __future__ import annotations
 
 import functools
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -144,6 +146,13 @@ def _prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             })
 
 
+def _likeliest(met: DataFrame) -> DataFrame:
+    """Of (node, center) rows, one per shared bucket, each node with the center that most of its rows name."""
+    shared = met.groupBy("node", "center").agg(F.count("*").alias("shared"))
+    rank = F.col("shared") * (1 << 20) - F.pmod(F.xxhash64("node", "center"), F.lit(1 << 19))
+    return shared.groupBy("node").agg(F.max_by("center", rank).alias("a")).select("a", F.col("node").alias("b"))
+
+
 class Groups:
     """One run of the search over ``docs``; every table it needs twice is kept in the shared folder."""
 
@@ -188,11 +197,9 @@ class Groups:
             if not changed:
                 return labels
 
-    def _apart(self, pairs: DataFrame, labels: DataFrame) -> DataFrame:
-        """The pairs whose nodes have no common root."""
-        a, b = (labels.select(F.col("node").alias(n), F.col("root").alias(f"root_{n}")) for n in "ab")
-        joined = pairs.join(a, "a", "left").join(b, "b", "left")
-        return joined.where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
+    def _confirm(self, pairs: DataFrame, texts: DataFrame) -> DataFrame:
+        """The links among these pairs: likely by the sketches, then certain by the texts."""
+        return self._join(self._join(pairs, self.classes, "sketch", _alike), texts, "text", _confirmed)
 
     def components(self) -> DataFrame:
         """(node, root) of all classes that have a link."""
@@ -208,32 +215,21 @@ class Groups:
         one_text = self.docs.alias("d").join(owners.alias("o"), F.expr("d.doc_id <=> o.doc_id AND d.text_hash = o.text_hash"))
         texts = keep(one_text.select("node", F.col("text").cast("binary").alias("text")).dropDuplicates(["node"]), "texts")
 
-        # First every bucket's members with its least: of these, each node's likeliest partner, then
-        # what still joins different components.
-        stars = bucketed.where("node <> center").groupBy(F.col("center").alias("a"), F.col("node").alias("b")).agg(F.count("*").alias("shared"))
-        stars = keep(stars, "stars")
-        near = keep(self._join(stars, self.classes, "sketch", _alike).join(stars, ["a", "b"]), "near")
-        likeliest = F.col("shared") * (1 << 20) - F.xxhash64("a", "b") % (1 << 19)
-        best = near.groupBy("b").agg(F.max(likeliest).alias("rank"))
-        first = near.withColumn("rank", likeliest).join(best, ["b", "rank"]).select("a", "b")
-        links = keep(self._join(first, texts, "text", _confirmed), "links-1")
-        labels = self._components(links, "round-1")
-        more = keep(self._join(self._apart(near.select("a", "b"), labels), texts, "text", _confirmed), "links-2")
-        if more.limit(1).count():
-            links = keep(links.union(more), "links-12")
-            labels = self._components(links, "round-2")
-
-        # The same with other members in the middle, which buckets choose by orders of their own.
+        # First every bucket's members with its least. A class meets nearly the same few in all of its
+        # buckets, so it is compared with one only, which it shares most buckets with.
+        links = keep(self._confirm(_likeliest(bucketed.where("node <> center")), texts), "links-first")
+        labels = self._components(links, "first")
+
+        # The same with other members in the middle, which buckets choose by orders of their own, for
+        # what is still apart from them.
         for turn in range(TURNS):
             rooted = bucketed.select("bucket", "node").join(labels, "node", "left").select("bucket", "node", F.coalesce("root", "node").alias("root"))
-            order = F.xxhash64("bucket", F.lit(turn))
+            drawn = F.col("node").bitwiseXOR(F.xxhash64("bucket", F.lit(turn)))
             middle = rooted.groupBy("bucket").agg(
-                F.min("root").alias("low"), F.max("root").alias("high"), F.min(F.col("node").bitwiseXOR(order)).alias("least")
-            ).where("low < high").select("bucket", F.col("least").bitwiseXOR(order).alias("center"))
-            around = rooted.join(middle, "bucket").where("node <> center").select(F.least("node", "center").alias("a"), F.greatest("node", "center").alias("b"))
-            apart = keep(self._apart(around.distinct(), labels), f"around-{turn}")
-            more = keep(self._join(self._join(apart, self.classes, "sketch", _alike), texts, "text", _confirmed), f"links-turn-{turn}")
-            place.drop(f"around-{turn}")
+                F.min("root").alias("low"), F.max("root").alias("high"), F.min_by("node", drawn).alias("center"), F.min_by("root", drawn).alias("beyond")
+            ).where("low < high").select("bucket", "center", "beyond")
+            around = rooted.join(middle, "bucket").where("root <> beyond")
+            more = keep(self._confirm(_likeliest(around), texts), f"links-turn-{turn}")
             if not more.limit(1).count():
                 break
             links = keep(links.union(more), f"links-all-{turn}")
@@ -246,12 +242,12 @@ class Groups:
         few = mixed_members.where(f"n <= {SMALL}").select("bucket", "node", "root")
         a, b = (few.select("bucket", F.col("node").alias(n), F.col("root").alias(f"root_{n}")) for n in "ab")
         paired = keep(a.join(b, "bucket").where("a < b AND root_a <> root_b").select("a", "b").distinct(), "paired")
-        late = self._join(self._join(paired, self.classes, "sketch", _alike), texts, "text", _confirmed)
+        late = self._confirm(paired, texts)
         rest = self._rest(mixed_members.where(f"n > {SMALL}").select("node", "root").distinct(), texts)
         late = keep(late if rest is None else late.union(self._join(rest, texts, "text", _confirmed)), "links-3")
         if late.limit(1).count():
             labels = self._components(links.union(late), "round-3")
-        place.drop("stars", "near", "texts", "members", "mixed")
+        place.drop("texts", "members", "mixed", "paired")
         return labels
 
     def _rest(self, nodes: DataFrame, texts: DataFrame) -> DataFrame | None:
@@ -269,9 +265,12 @@ class Groups:
         counted = every.join(every.groupBy("shingle").agg(F.count("*").alias("df")), "shingle")
         rarest = Window.partitionBy("node").orderBy("df", "shingle")
         kept = counted.withColumn("k", F.row_number().over(rarest)).where("5 * (k - 1) <= size").join(nodes, "node")
-        kept = self.place.keep(kept.select("shingle", "node", "root", "size", "k"), "prefixes")
-        a, b = (kept.select("shingle", *[F.col(c).alias(f"{c}_{n}") for c in ("node", "root", "size", "k")]) for n in "ab")
-        found = a.join(b.where("9 * (k_b - 1) <= size_b"), "shingle").where(
+        # Sizes a quarter apart at most are in one class of sizes or in neighbouring ones.
+        grade = F.floor(F.ln("size") / math.log(1.26))
+        kept = self.place.keep(kept.select("shingle", "node", "root", "size", "k", grade.alias("grade")), "prefixes")
+        a, b = (kept.select("shingle", "grade", *[F.col(c).alias(f"{c}_{n}") for c in ("node", "root", "size", "k")]) for n in "ab")
+        smaller = b.where("9 * (k_b - 1) <= size_b").withColumn("grade", F.explode(F.array("grade", F.col("grade") + 1)))
+        found = a.join(smaller, ["shingle", "grade"]).where(
             "root_a <> root_b AND size_a >= size_b AND 5 * size_b >= 4 * size_a AND 9 * (1 + least(size_a - k_a, size_b - k_b)) >= 4 * (size_a + size_b)"
         )
         ends = F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")
