@@ -23,7 +23,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from siltline.llm.common import Workspace, fresh, table
@@ -31,6 +31,7 @@ from siltline.llm.common import Workspace, fresh, table
 COORDINATES, BANDS = 128, 32
 SMALL = 16  # members of a bucket that are all paired
 TURNS = 4  # at most, of pairing with a member chosen at random; the exact search follows anyhow
+SIGNED = ["s0", "s1", "s2", "s3"]
 LIKELY = 0.6  # of the coordinates; 5.7 standard deviations below similarity 0.8
 
 LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
@@ -100,18 +101,33 @@ def sketch(members: np.ndarray) -> np.ndarray:
     return out
 
 
+def signature(members: np.ndarray) -> np.ndarray:
+    """256 bits, each the parity of the members that fall to it: two sets differ in as many members, at least, as
+    their signatures do in bits."""
+    parity = np.bincount((members >> np.uint64(13)).astype(np.int64) & 0xFF, minlength=256).astype(np.uint8) & 1
+    return np.packbits(parity).view("<i8")
+
+
+def _may_link(a: str, b: str) -> Column:
+    """False only where signatures show that two sets are less than 0.8 alike: more than a ninth of all members differ."""
+    unlike = functools.reduce(lambda x, y: x + y, (F.bit_count(F.col(f"{s}_{a}").bitwiseXOR(F.col(f"{s}_{b}"))) for s in SIGNED))
+    return 9 * unlike <= F.col(f"size_{a}") + F.col(f"size_{b}")
+
+
 def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     hashes = word_hashes()
     for batch in batches:
-        n, digests, bands = [], [], []
+        n, digests, bands, signed = [], [], [], []
         for text in batch.column(2):
             members = shingle_set(text.as_py(), hashes)
             n.append(len(members))
             digests.append(xxhash.xxh3_128_digest(members.tobytes()) if len(members) else None)
             bands.append(sketch(members).tobytes() if len(members) else None)
+            signed.append(signature(members))
+        parts = np.array(signed, np.int64).reshape(-1, len(SIGNED)).T
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(digests, pa.binary()), pa.array(bands, pa.binary())],
-            names=["doc_id", "text_hash", "n_shingles", "set_hash", "sketch"],
+            [batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(digests, pa.binary()), pa.array(bands, pa.binary()), *map(pa.array, parts)],
+            names=["doc_id", "text_hash", "n_shingles", "set_hash", "sketch", *SIGNED],
         )
 
 
@@ -160,13 +176,14 @@ class Groups:
         self.place = Workspace(docs.sparkSession, "neardup")
         self.docs = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
         raw = self.docs.select("doc_id", "text_hash", F.col("text").cast("binary"))
-        schema = "doc_id long, text_hash long, n_shingles long, set_hash binary, sketch binary"
+        schema = "doc_id long, text_hash long, n_shingles long, set_hash binary, sketch binary, " + ", ".join(f"{s} long" for s in SIGNED)
         self.rows = self.place.keep(raw.mapInArrow(_sketched, schema), "rows")
         first = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "text_hash")
         classes = (
             self.rows.where("set_hash IS NOT NULL")
             .groupBy("set_hash")
-            .agg(F.min(first).alias("first"), F.first("sketch").alias("sketch"))  # equal sets have one sketch
+            # Equal sets have one size, sketch and signature.
+            .agg(F.min(first).alias("first"), F.first("n_shingles").alias("size"), *(F.first(c).alias(c) for c in ("sketch", *SIGNED)))
             .withColumn("node", F.monotonically_increasing_id())
         )
         self.classes = self.place.keep(classes, "classes")
@@ -239,9 +256,9 @@ class Groups:
         rooted = bucketed.join(labels, "node", "left").select("bucket", "n", "node", F.coalesce("root", "node").alias("root"))
         spread = rooted.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("bucket")
         mixed_members = keep(rooted.join(spread, "bucket", "left_semi"), "mixed")
-        few = mixed_members.where(f"n <= {SMALL}").select("bucket", "node", "root")
-        a, b = (few.select("bucket", F.col("node").alias(n), F.col("root").alias(f"root_{n}")) for n in "ab")
-        paired = keep(a.join(b, "bucket").where("a < b AND root_a <> root_b").select("a", "b").distinct(), "paired")
+        few = mixed_members.where(f"n <= {SMALL}").join(self.classes.select("node", "size", *SIGNED), "node")
+        a, b = (few.select("bucket", F.col("node").alias(n), *(F.col(c).alias(f"{c}_{n}") for c in ("root", "size", *SIGNED))) for n in "ab")
+        paired = keep(a.join(b, "bucket").where("a < b AND root_a <> root_b").where(_may_link("a", "b")).select("a", "b").distinct(), "paired")
         late = self._confirm(paired, texts)
         rest = self._rest(mixed_members.where(f"n > {SMALL}").select("node", "root").distinct(), texts)
         late = keep(late if rest is None else late.union(self._join(rest, texts, "text", _confirmed)), "links-3")
@@ -255,7 +272,7 @@ class Groups:
 
         In any order of the shingles, sets of similarity 0.8 have their first common shingle among the
         first fifth (and one) of the larger set and the first ninth (and one) of the smaller, and no
-        more of either behind it than their overlap needs. The order is by how many of these sets
+        less of either behind it than their overlap needs. What signatures rule out is not compared. The order is by how many of these sets
         hold a shingle, so common ones come last.
         """
         nodes = self.place.keep(nodes, "apart")
@@ -264,15 +281,15 @@ class Groups:
         every = self.place.keep(texts.join(nodes.select("node"), "node", "left_semi").mapInArrow(_prefixes, "node long, size long, shingle long"), "shingles")
         counted = every.join(every.groupBy("shingle").agg(F.count("*").alias("df")), "shingle")
         rarest = Window.partitionBy("node").orderBy("df", "shingle")
-        kept = counted.withColumn("k", F.row_number().over(rarest)).where("5 * (k - 1) <= size").join(nodes, "node")
+        kept = counted.withColumn("k", F.row_number().over(rarest)).where("5 * (k - 1) <= size").join(nodes.join(self.classes.select("node", *SIGNED), "node"), "node")
         # Sizes a quarter apart at most are in one class of sizes or in neighbouring ones.
         grade = F.floor(F.ln("size") / math.log(1.26))
-        kept = self.place.keep(kept.select("shingle", "node", "root", "size", "k", grade.alias("grade")), "prefixes")
-        a, b = (kept.select("shingle", "grade", *[F.col(c).alias(f"{c}_{n}") for c in ("node", "root", "size", "k")]) for n in "ab")
+        kept = self.place.keep(kept.select("shingle", "node", "root", "size", "k", grade.alias("grade"), *SIGNED), "prefixes")
+        a, b = (kept.select("shingle", "grade", *[F.col(c).alias(f"{c}_{n}") for c in ("node", "root", "size", "k", *SIGNED)]) for n in "ab")
         smaller = b.where("9 * (k_b - 1) <= size_b").withColumn("grade", F.explode(F.array("grade", F.col("grade") + 1)))
         found = a.join(smaller, ["shingle", "grade"]).where(
             "root_a <> root_b AND size_a >= size_b AND 5 * size_b >= 4 * size_a AND 9 * (1 + least(size_a - k_a, size_b - k_b)) >= 4 * (size_a + size_b)"
-        )
+        ).where(_may_link("a", "b"))
         ends = F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")
         found = self.place.keep(found.select(*ends).distinct(), "rest")
         self.place.drop("shingles", "prefixes")
