@@ -340,6 +340,19 @@ def cast_loss(spark, folder):
     return layers.cast_loss(messy, stage_layout(messy))
 
 
+@query
+def stage_nullability(spark, folder):
+    """The NULL rules of a profiled layout with their violations: flags that are no BIT break one."""
+    flag = by_remainder(F.col("key"), 3, {0: F.lit("Y"), 1: F.lit(" no ")}, F.lit("maybe"))
+    code = by_remainder(F.col("key"), 2, {0: F.lit("")}, F.lit("6F9619FF-8B86-D011-B42D-00C04FC964FF"))
+    messy = messy_orders(spark, folder).withColumns({"IsOpen": flag, "Handle": code}).drop("key")
+    chosen = {**STAGE_TYPES, "IsOpen": "BIT", "Handle": "UNIQUEIDENTIFIER"}
+    kinds = F.create_map(*[F.lit(part) for pair in chosen.items() for part in pair])
+    profiled = profile.profile(messy, list(chosen)).withColumn("recommended_sql_type", kinds[F.col("column_name")])
+    layout = layers.stage_columns(profiled, messy)
+    return layers.null_violations(layers.stage(messy, layout), layout)
+
+
 @query
 def stage_customer(spark, folder):
     raw = as_text(table(spark, folder, "customer"))

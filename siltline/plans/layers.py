@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -11,39 +11,82 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from siltline import fixed
 from siltline.functions import names, text
 from siltline.functions.typed import SqlType, is_lossy, typed
-from siltline.operators import checks, harmonise, history, profile, surrogate
+from siltline.operators import checks, constraints, harmonise, history, profile, surrogate
 from siltline.session import cut_lineage
 from siltline.sources.exports import Export, ExportProfile, file_gates, text_width
 
 
+# While a table is replaced, its next content and its last one stand beside it under these names.
+LOADING, REPLACED = "__loading", "__replaced"
+
+
+def _run(spark: SparkSession, statement: str) -> None:
+    """Every change of the catalog goes through here, one statement at a time."""
+    spark.sql(statement)
+
+
+def recover(spark: SparkSession, table: str) -> None:
+    """Finish or undo a replacement of ``table`` that was stopped.
+
+    If it has no content, the last one comes back, since the stopped load told nobody that it was done;
+    with content, the last one is dropped. What was being loaded goes either way.
+    """
+    if not spark.catalog.databaseExists(table.split(".", 1)[0]):
+        return
+    if spark.catalog.tableExists(table + REPLACED):
+        if spark.catalog.tableExists(table):
+            _run(spark, f"DROP TABLE {table}{REPLACED}")
+        else:
+            _run(spark, f"ALTER TABLE {table}{REPLACED} RENAME TO {table}")
+    if spark.catalog.tableExists(table + LOADING):
+        _run(spark, f"DROP TABLE {table}{LOADING}")
+
+
+def layer_table(spark: SparkSession, table: str) -> DataFrame:
+    """A layer table as the last completed load left it."""
+    recover(spark, table)
+    return spark.table(table)
+
+
 def write_table(
     df: DataFrame, table: str, mode: str = "overwrite", partition_by: list[str] | None = None,
-    verify: Callable[[DataFrame], None] | None = None,
+    verify: Callable[[DataFrame], None] | None = None, required: Sequence[str] = (),
 ) -> None:
-    """Write a layer table, creating its database when missing.
+    """Write a layer table, creating its database when missing. One load writes to a table at a time.
 
-    An overwrite goes to a table beside it, which takes the name once it is whole and ``verify`` (given
-    what is stored) has not raised; until then the old table stays as it was.
+    An overwrite goes to a table beside it, which takes the name once it is whole, no ``required`` column
+    holds a NULL (counted while the rows are written) and ``verify`` (given what is stored) has not raised;
+    until then the old table stays as it was. The old table is set aside before the new one takes its
+    name and dropped last, so wherever a load stops, ``layer_table`` and the next load find one of both whole.
+    An append checks ``required`` in a pass of its own before it writes.
     """
     spark, database = df.sparkSession, table.split(".", 1)[0]
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-    name = f"{table}__loading" if mode == "overwrite" else table
-    if mode == "overwrite":
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
-    writer = df.write.format("parquet").mode(mode)
+    _run(spark, f"CREATE DATABASE IF NOT EXISTS {database}")
+    recover(spark, table)
+    watch = constraints.Watch(required)
+    rows = watch.over(df)
+    if mode != "overwrite" and required:
+        rows.write.format("noop").mode("overwrite").save()
+        watch.check(table)
+        rows = df
+    writer = rows.write.format("parquet").mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+    if mode != "overwrite":
+        writer.saveAsTable(table)
+        return
     try:
-        writer.saveAsTable(name)
+        writer.saveAsTable(table + LOADING)
+        watch.check(table)
         if verify is not None:
-            verify(spark.table(name))
+            verify(spark.table(table + LOADING))
     except Exception:
-        if mode == "overwrite":
-            spark.sql(f"DROP TABLE IF EXISTS {name}")
+        _run(spark, f"DROP TABLE IF EXISTS {table}{LOADING}")
         raise
-    if mode == "overwrite":
-        spark.sql(f"DROP TABLE IF EXISTS {table}")
-        spark.sql(f"ALTER TABLE {name} RENAME TO {table}")
+    if spark.catalog.tableExists(table):
+        _run(spark, f"ALTER TABLE {table} RENAME TO {table}{REPLACED}")
+    _run(spark, f"ALTER TABLE {table}{LOADING} RENAME TO {table}")
+    _run(spark, f"DROP TABLE IF EXISTS {table}{REPLACED}")
 
 
 # --- profile ------------------------------------------------------------------------------
@@ -146,6 +189,7 @@ def load_raw(
     """
     spark, when = export.records.sparkSession, loaded_at or datetime.now()
     rows = raw_rows(export, profile_config, when)
+    recover(spark, table)
     if spark.catalog.tableExists(table):
         existing = spark.table(table)
         if backfill_metadata:
@@ -200,6 +244,7 @@ class StageColumn:
     sql_type: str
     identifier: bool = False
     nullable: bool = False
+    profiled: bool = False  # the profile decided whether it may be NULL
 
 
 def stage_columns(
@@ -208,8 +253,9 @@ def stage_columns(
 ) -> list[StageColumn]:
     """The staged layout: one entry per column of the latest profile, or of the raw table without one.
 
-    ``profiled`` has ``ordinal_position, column_name, recommended_sql_type, defined_sql_type``; a raw
-    VARCHAR(MAX) column stays so. Only the column catalog is collected.
+    ``profiled`` has ``ordinal_position, column_name, recommended_sql_type, defined_sql_type``, and may have
+    ``nullability`` (see ``constraints.may_be_null``); a raw VARCHAR(MAX) column stays so. Only the column
+    catalog is collected.
     """
     spark = raw.sparkSession
     data = [c for c in raw.columns if c not in fixed.RAW_METADATA]
@@ -230,6 +276,7 @@ def stage_columns(
             names.sanitize(F.col("column_name")).alias("name"),
             F.when(kept_wide, F.lit("VARCHAR(MAX)")).otherwise(chosen).alias("sql_type"),
             names.is_identifier(F.col("column_name")).alias("identifier"),
+            (F.col("nullability") if "nullability" in profiled.columns else F.lit(None).cast("string")).alias("nullability"),
         )
         .orderBy(F.asc_nulls_last("ordinal_position"))
         .collect()
@@ -244,7 +291,10 @@ def stage_columns(
         if other != row.column_name:
             raise ValueError(f"columns {other!r} and {row.column_name!r} both become {row.name!r}")
         layout.append(
-            StageColumn(row.column_name, row.name, row.sql_type, row.identifier, SqlType.parse(row.sql_type).is_date)
+            StageColumn(
+                row.column_name, row.name, row.sql_type, row.identifier,
+                constraints.may_be_null(row.sql_type, row.nullability), bool(row.nullability),
+            )
         )
     return layout
 
@@ -274,13 +324,26 @@ def cast_loss(raw: DataFrame, layout: list[StageColumn], null_dates: list[str] |
     return lossy.select(F.inline(cells))
 
 
+def required_columns(layout: list[StageColumn], blank_policy: str = "default") -> list[str]:
+    """The staged columns that must not be NULL. Where blanks stay NULL, only the profile can say so."""
+    return [c.name for c in layout if not c.nullable and (blank_policy == "default" or c.profiled)]
+
+
+def null_violations(staged: DataFrame, layout: list[StageColumn]) -> DataFrame:
+    """Per staged column its rule, its NULLs, and whether they break the rule."""
+    return constraints.null_counts(staged, [(c.name, c.sql_type, c.nullable) for c in layout])
+
+
 def load_stage(
     spark: SparkSession, source: str, target: str, layout: list[StageColumn],
     blank_policy: str = "default", null_dates: list[str] | None = None,
 ) -> int:
-    """Rebuild a staged table from a raw one; keys follow the raw table's file order."""
-    keyed = surrogate.key_by_position(spark.table(source))
-    write_table(stage(keyed, layout, blank_policy, null_dates), target)
+    """Rebuild a staged table from a raw one; keys follow the raw table's file order.
+
+    NULLs in columns that must have none leave the old table in place (``constraints.NullViolation``).
+    """
+    keyed = surrogate.key_by_position(layer_table(spark, source))
+    write_table(stage(keyed, layout, blank_policy, null_dates), target, required=required_columns(layout, blank_policy))
     return spark.table(target).count()
 
 
@@ -293,7 +356,8 @@ def append_zen(spark: SparkSession, source: str, target: str) -> int:
     Staged keys that are 1 to n are moved by that; a table without keys, or with any others, is
     numbered by the place of its rows.
     """
-    staged = spark.table(source)
+    staged = layer_table(spark, source)
+    recover(spark, target)
     data = [c for c in staged.columns if c.lower() != fixed.AUTO_ID.lower()]
     if not data:
         raise ValueError(f"no columns in {source}")
@@ -329,7 +393,7 @@ def appended_rows(staged: DataFrame, data: list[str], start: int) -> DataFrame:
 
 def load_harmonised(spark: SparkSession, tables: dict[str, str], profiles: DataFrame, target: str) -> int:
     """Unite the raw variant tables (variant -> table) into one hrm table with keys."""
-    frames = {variant: spark.table(table).withColumn(fixed.VARIANT_TABLE, F.lit(table)) for variant, table in tables.items()}
+    frames = {variant: layer_table(spark, table).withColumn(fixed.VARIANT_TABLE, F.lit(table)) for variant, table in tables.items()}
     united = harmonise.harmonise(frames, profiles)
     # The union is written first; its files then give the keys.
     write_table(united, f"{target}_unkeyed")
@@ -418,8 +482,10 @@ def load_reviewed(
     spark: SparkSession, source: str, target: str, decisions: ReviewDecisions, types: DataFrame | None = None,
     drop_source: bool = False,
 ) -> int:
-    """Rebuild a staged table from a harmonised one, keeping its keys."""
-    write_table(reviewed_stage(spark.table(source), decisions, types), target)
+    """Rebuild a staged table from a harmonised one, keeping its keys. Only dates may be NULL, load metadata never."""
+    rows = reviewed_stage(layer_table(spark, source), decisions, types)
+    dated = {field.name for field in rows.schema.fields if field.dataType.simpleString() in ("date", "timestamp", "timestamp_ntz")}
+    write_table(rows, target, required=[c for c in rows.columns if c in fixed.HARMONISED_METADATA or c not in dated])
     rows = spark.table(target).count()
     if drop_source:
         spark.sql(f"DROP TABLE {source}")
@@ -428,7 +494,7 @@ def load_reviewed(
 
 def reconciled(spark: SparkSession, source: str, target: str) -> tuple[int, int]:
     """(source rows, target rows), refusing a difference."""
-    row = checks.reconcile(spark.table(source), spark.table(target)).first()
+    row = checks.reconcile(layer_table(spark, source), layer_table(spark, target)).first()
     if not row.is_match:
         raise ValueError(f"{source} has {row.source_row_count} rows, {target} has {row.target_row_count}")
     return row.source_row_count, row.target_row_count

@@ -761,6 +761,19 @@ def statements() -> dict[str, str]:
           UNION ALL SELECT 'OrderDate', 'DATE', count(*) FILTER (trim("OrderDate") <> '' AND {DAY} IS NULL) FROM m
           UNION ALL SELECT 'Priority_Note', 'VARCHAR(5)', count(*) FILTER (length(trim("Priority.Note")) > 5) FROM m
           UNION ALL SELECT 'LINE_QTY', 'INT', count(*) FILTER ({QTY} IS NULL) FROM m""",
+        "stage_nullability": f"""
+          WITH m AS (SELECT *, CASE key % 3 WHEN 0 THEN 'Y' WHEN 1 THEN ' no ' ELSE 'maybe' END AS flag FROM ({MESSY})),
+          s AS (SELECT * REPLACE ({end_date.replace('d ', '"OrderDate" ')} AS "OrderDate") FROM ({staged(True, DAY)})),
+          c AS (
+            SELECT 'OrderID' AS column_name, 'VARCHAR(100)' AS sql_type, count(*) FILTER ({filled('"OrderID"')} IS NULL) > 0 AS blank, 0 AS nulls FROM m
+            UNION ALL SELECT 'OrderAmount', 'MONEY', count(*) FILTER ({filled('"OrderAmount"')} IS NULL) > 0, 0 FROM m
+            UNION ALL SELECT 'OrderDate', 'DATE', true, (SELECT count(*) FILTER ("OrderDate" IS NULL) FROM s)
+            UNION ALL SELECT 'Priority_Note', 'VARCHAR(5)', count(*) FILTER ({filled('"Priority.Note"')} IS NULL) > 0, 0 FROM m
+            UNION ALL SELECT 'LINE_QTY', 'INT', count(*) FILTER ({filled('"LINE QTY"')} IS NULL) > 0, 0 FROM m
+            UNION ALL SELECT 'IsOpen', 'BIT', false, count(*) FILTER (flag = 'maybe') FROM m
+            UNION ALL SELECT 'Handle', 'UNIQUEIDENTIFIER', count(*) FILTER (key % 2 = 0) > 0, count(*) FILTER (key % 2 = 0) FROM m)
+          SELECT column_name, sql_type, CASE WHEN blank THEN 'NULL' ELSE 'NOT NULL' END AS nullability,
+            cast(nulls AS bigint) AS null_row_count, NOT blank AND nulls > 0 AS is_violated FROM c""",
         "stage_customer": f"SELECT {', '.join(f'left({expression}, 100) AS {name}' for name, expression in CUSTOMER)} FROM customer",
         "strict_typed_text": STRICT,
         "delimited_export": f"""

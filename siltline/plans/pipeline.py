@@ -137,11 +137,12 @@ class _Run:
 
     def stage(self) -> None:
         p = self.pipeline
-        raw = self.spark.table(p.source_table)
+        raw = layers.layer_table(self.spark, p.source_table)
         rows = history.latest_run_rows(self.audit.table("ColumnProfileLog").where(F.col("TableName") == p.source_table))
         profiled = rows.select(
             F.col("OrdinalPosition").alias("ordinal_position"), F.col("ColumnName").alias("column_name"),
             F.col("RecommendedSqlType").alias("recommended_sql_type"), F.col("DefinedSqlType").alias("defined_sql_type"),
+            F.col("Nullability").alias("nullability"),
         )
         if p.profile and p.profile.column_mappings:
             # Profiles name source columns; the raw table has the mapped ones.
