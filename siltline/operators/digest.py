@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from siltline import fixed
 from siltline.functions import text
+from siltline.operators.folding import unsorted
 
 
 def parse_errors(lines: DataFrame, line: str = "line") -> DataFrame:
@@ -43,7 +44,7 @@ def digest(parsed: DataFrame) -> DataFrame:
     facts = counts.unionByName(first("error_row"), allowMissingColumns=True).unionByName(
         first("error_column"), allowMissingColumns=True
     )
-    one = facts.agg(*[F.max(c).alias(c) for c in facts.columns])
+    one = facts.agg(*[unsorted(F.max(c)).alias(c) for c in facts.columns])
     return one.select(
         "error_line_count",
         F.when(F.col("rows") > 0, F.col("rows")).otherwise(F.col("error_line_count")).alias("error_row_count"),

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from siltline import fixed
 from siltline.functions import dates, names, text
+from siltline.operators.folding import unsorted
 
 
 def harmonised_name(name: Column) -> Column:
@@ -30,7 +31,7 @@ def column_plan(profiles: DataFrame) -> DataFrame:
         profiles.withColumn("out_name", harmonised_name(F.col("column_name")))
         .groupBy("out_name")
         .agg(
-            F.min(F.struct("variant", "ordinal_position")).alias("first_seen"),
+            unsorted(F.min(F.struct("variant", "ordinal_position"))).alias("first_seen"),
             F.sum("non_null_row_count").alias("non_null_row_count"),
             F.bool_or(evidence).alias("has_evidence"),
             F.bool_or(iso).alias("has_iso"),

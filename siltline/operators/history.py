@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from siltline import fixed
 from siltline.functions import names
+from siltline.operators.folding import unsorted
 
 
 def prior_types(history: DataFrame, stage: str = "PRELOAD_CSV") -> DataFrame:
@@ -17,7 +18,7 @@ def prior_types(history: DataFrame, stage: str = "PRELOAD_CSV") -> DataFrame:
     return (
         history.where(F.col("CountStage") == stage)
         .groupBy("TableName", "ColumnName")
-        .agg(F.max_by("DefinedSqlType", "AutoId").alias("DefinedSqlType"))
+        .agg(unsorted(F.max_by("DefinedSqlType", "AutoId")).alias("DefinedSqlType"))
     )
 
 
@@ -39,7 +40,7 @@ def latest_profile(history: DataFrame, stage: str = "PRELOAD_CSV") -> DataFrame:
     return (
         history.where(F.col("CountStage") == stage)
         .groupBy("TableName", "ColumnName")
-        .agg(newest.alias("row"))
+        .agg(unsorted(newest).alias("row"))
         .select("TableName", "ColumnName", "row.*")
     )
 
@@ -47,7 +48,7 @@ def latest_profile(history: DataFrame, stage: str = "PRELOAD_CSV") -> DataFrame:
 def latest_run_rows(history: DataFrame, stage: str = "PRELOAD_CSV") -> DataFrame:
     """All rows of the most recent run of each table."""
     at_stage = history.where(F.col("CountStage") == stage)
-    latest = at_stage.groupBy("TableName").agg(F.max_by("RunID", "AutoId").alias("RunID"))
+    latest = at_stage.groupBy("TableName").agg(unsorted(F.max_by("RunID", "AutoId")).alias("RunID"))
     return at_stage.join(latest, ["TableName", "RunID"])
 
 
@@ -85,7 +86,7 @@ def reconcile_types(types: DataFrame, key: str = "ColumnName") -> DataFrame:
         F.max(F.when(is_text, length)).alias("width"),
         F.max(F.when(rank == 3, F.coalesce(digits, F.lit(18)) - scale)).alias("whole"),
         F.max(F.when(rank == 3, scale)).alias("scale"),
-        F.min(F.when(rank == 1, kind)).alias("other"),
+        unsorted(F.min(F.when(rank == 1, kind))).alias("other"),
     )
     width = F.when((F.col("width") == 0) | (F.col("width") == fixed.TEXT_LIMIT), fixed.TEXT_LIMIT).otherwise(F.col("width"))
     behind = F.least(F.col("scale"), 38 - F.col("whole"))

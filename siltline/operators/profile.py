@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from siltline import fixed
 from siltline.functions import dates, names, numbers, text
+from siltline.operators.folding import unsorted
 
 PROFILE = (
     "struct<ordinal_position:int,column_name:string,minimum_non_null_value:string,"
@@ -20,8 +21,8 @@ PROFILE = (
 def _measures(prefix: str, source: str, controls: bool) -> list[Column]:
     value = text.blank_to_null(F.col(f"`{source}`"))
     measures = [
-        F.min(value).alias(f"{prefix}_min"),
-        F.max(value).alias(f"{prefix}_max"),
+        unsorted(F.min(value)).alias(f"{prefix}_min"),
+        unsorted(F.max(value)).alias(f"{prefix}_max"),
         F.max(F.length(value)).alias(f"{prefix}_len"),
         F.count_if(value.isNull()).alias(f"{prefix}_blank"),
         F.count(value).alias(f"{prefix}_filled"),
@@ -77,8 +78,8 @@ def merge_profiles(by_file: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Fold per-file profiles into one per column: counts add up, extremes and lengths widen."""
     merged = by_file.groupBy(*keys, "column_name").agg(
         F.min("ordinal_position").alias("ordinal_position"),
-        F.min("minimum_non_null_value").alias("minimum_non_null_value"),
-        F.max("maximum_non_null_value").alias("maximum_non_null_value"),
+        unsorted(F.min("minimum_non_null_value")).alias("minimum_non_null_value"),
+        unsorted(F.max("maximum_non_null_value")).alias("maximum_non_null_value"),
         F.max("max_string_length").alias("max_string_length"),
         F.sum("blank_row_count").alias("blank_row_count"),
         F.sum("non_null_row_count").alias("non_null_row_count"),

@@ -11,6 +11,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window, functions as F
 
 from siltline import fixed
+from siltline.operators.folding import unsorted
 
 COMPARED = ["defined_sql_type", "nullability", "max_string_length"]
 
@@ -135,7 +136,7 @@ def _refuse_unknown(decisions: DataFrame, reviewed: DataFrame, keys: list[str])
 def review_status(reviewed: DataFrame) -> DataFrame:
     """Files per status, overridden columns and whether everything is approved: one row."""
     per_file = reviewed.groupBy("file_name").agg(
-        F.max("review_status").alias("review_status"),
+        unsorted(F.max("review_status")).alias("review_status"),
         F.count_if(F.coalesce("override_sql_type", F.lit("")) != "").alias("overrides"),
     )
     return per_file.agg(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from siltline import fixed
+from siltline.operators.folding import unsorted
 from siltline.operators.records import first_rows
 
 
@@ -16,7 +17,7 @@ def run_state(events: DataFrame) -> DataFrame:
     """Current state of each run from append-only run events: later events overlay earlier ones."""
     filled = [c for c in events.columns if c not in ("RunID", "EventId")]
     return events.groupBy("RunID").agg(
-        *[F.max_by(F.when(F.col(c).isNotNull(), F.col(c)), F.when(F.col(c).isNotNull(), F.col("EventId"))).alias(c) for c in filled]
+        *[unsorted(F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col("EventId")))).alias(c) for c in filled]
     )
 
 
@@ -29,9 +30,11 @@ def summarise_runs(runs: DataFrame, counts: DataFrame, loads: DataFrame) -> Data
     counted = (
         counts.groupBy("RunID", F.col("CountStage").alias("step_name"))
         .agg(
-            F.max_by(
-                F.struct("TableName", "SourceFile", "ProperRowCount", "MalformedRowCount", "RepairedRowCount", "CapturedAt"),
-                F.struct("CapturedAt", "TableRowCountLogID"),
+            unsorted(
+                F.max_by(
+                    F.struct("TableName", "SourceFile", "ProperRowCount", "MalformedRowCount", "RepairedRowCount", "CapturedAt"),
+                    F.struct("CapturedAt", "TableRowCountLogID"),
+                )
             ).alias("c")
         )
     )
@@ -44,13 +47,13 @@ def summarise_runs(runs: DataFrame, counts: DataFrame, loads: DataFrame) -> Data
         .otherwise(F.coalesce(F.max_by(F.nullif("LoadStatus", F.lit("")), F.when(F.col("LoadStatus") != "", order)), F.lit("")))
     )
     loaded = staged.groupBy(*keys).agg(
-        status.alias("step_status"),
+        unsorted(status).alias("step_status"),
         F.sum(F.coalesce("DurationMs", F.lit(0))).alias("duration_ms"),
         F.min("StartedAt").alias("started_at"),
         F.max("FinishedAt").alias("finished_at"),
         F.array_join(F.array_sort(F.collect_set("LoadMethod")), ",").alias("load_methods"),
         F.sum(F.coalesce("ChunkRowCount", F.lit(0))).alias("chunk_rows"),
-        F.max_by(F.struct("TableName", "SourceFile"), order).alias("last"),
+        unsorted(F.max_by(F.struct("TableName", "SourceFile"), order)).alias("last"),
     )
     # The first three notes of a step: only three rows per step and task are shuffled.
     noted = staged.where(F.coalesce("DetailMessage", F.lit("")) != "")

@@ -5,17 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from siltline import fixed
+from siltline.operators.folding import unsorted
 
 
 def variants(headers: DataFrame) -> DataFrame:
     """One row per (entity, header hash) from described headers: files counted, first file kept."""
     return headers.groupBy("entity_name", "header_hash").agg(
         F.count("*").alias("file_count"),
-        F.min("file_name").alias("first_file"),
+        unsorted(F.min("file_name")).alias("first_file"),
         F.max("column_count").alias("column_count"),
         F.max("blank_header_count").alias("blank_header_count"),
-        F.max("duplicate_headers").alias("duplicate_headers"),
-        F.max("canonical_columns").alias("canonical_columns"),
+        unsorted(F.max("duplicate_headers")).alias("duplicate_headers"),
+        unsorted(F.max("canonical_columns")).alias("canonical_columns"),
     )
 
 
@@ -37,7 +38,7 @@ def entity_summary(headers: DataFrame) -> DataFrame:
     united = (
         shapes.select("entity_name", "first_file", F.posexplode("canonical_columns").alias("at", "column_name"))
         .groupBy("entity_name", "column_name")
-        .agg(F.min(F.struct("first_file", "at")).alias("first_seen"))
+        .agg(unsorted(F.min(F.struct("first_file", "at"))).alias("first_seen"))
         .groupBy("entity_name")
         .agg(F.array_sort(F.collect_list(F.struct("first_seen", "column_name"))).alias("seen"))
         .select(
@@ -111,7 +112,7 @@ def entity_report(columns: DataFrame) -> DataFrame:
     spread = (
         column_presence(columns)
         .groupBy("entity_name", "column_name")
-        .agg(F.max("presence").alias("presence"))
+        .agg(unsorted(F.max("presence")).alias("presence"))
         .groupBy("entity_name")
         .agg(
             F.count_if(F.col("presence") == "common").alias("common_column_count"),

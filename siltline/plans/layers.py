@@ -12,6 +12,7 @@ from siltline import fixed
 from siltline.functions import names, text
 from siltline.functions.typed import SqlType, is_lossy, typed
 from siltline.operators import checks, constraints, harmonise, history, profile, surrogate
+from siltline.operators.folding import unsorted
 from siltline.session import cut_lineage
 from siltline.sources.exports import Export, ExportProfile, file_gates, text_width
 
@@ -110,8 +111,8 @@ def profile_export(export: Export, profile_config: ExportProfile, enforce: bool
     for i in range(export.width):
         value = F.when(good, text.blank_to_null(F.get("fields", F.lit(i))))
         measures += [
-            F.min(value).alias(f"c{i}_min"),
-            F.max(value).alias(f"c{i}_max"),
+            unsorted(F.min(value)).alias(f"c{i}_min"),
+            unsorted(F.max(value)).alias(f"c{i}_max"),
             F.max(F.length(value)).alias(f"c{i}_len"),
             F.count_if(good & value.isNull()).alias(f"c{i}_blank"),
             F.count(value).alias(f"c{i}_filled"),

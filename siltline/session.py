@@ -17,6 +17,8 @@ SETTINGS = {
     # The JVM does not compile methods over 8000 bytes of bytecode; wide cleansing projections are then
     # better off split into smaller methods than fused into one.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Groups that a task keeps in an object hash map before it sorts (see operators/folding.py).
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "20000",
 }
 
 

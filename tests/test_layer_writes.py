@@ -108,3 +108,20 @@ def test_null_counts_of_an_empty_table_and_an_append(spark):
     assert spark.table("zen.Required").count() == 2
     layers.write_table(spark.range(2).toDF("n"), "zen.Required", mode="append", required=["n"])
     assert spark.table("zen.Required").count() == 4
+
+
+def test_profiling_an_export_sorts_nothing_by_file(spark, tmp_path):
+    from siltline.sources import exports
+
+    (tmp_path / "a.csv").write_text("A,B\n1,x\n2,y\n")
+    export = exports.open_export(spark, exports.ExportProfile(source_files=(str(tmp_path / "a.csv"),)))
+    by_file = exports.file_gates(export, layers.unsorted(F.min(F.get("fields", F.lit(0)))).alias("low"))
+    assert "SortAggregate" not in by_file._jdf.queryExecution().executedPlan().toString()
+    found = layers.profile_export(export, exports.ExportProfile(source_files=(str(tmp_path / "a.csv"),)))
+    assert [(r.column_name, r.minimum_non_null_value, r.maximum_non_null_value) for r in found.columns.orderBy("ordinal_position").collect()] == [("A", "1", "2"), ("B", "x", "y")]
+
+
+def test_more_groups_than_the_map_holds_give_the_same_rows(spark):
+    rows = spark.range(3000).select((F.col("id") % 700).alias("k"), F.col("id").cast("string").alias("t"))
+    expected = sorted(map(tuple, rows.groupBy("k").agg(F.max("t"), F.max_by("t", "id")).collect()))
+    assert sorted(map(tuple, rows.groupBy("k").agg(layers.unsorted(F.max("t")), layers.unsorted(F.max_by("t", "id"))).collect())) == expected
