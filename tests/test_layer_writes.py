@@ -122,6 +122,6 @@ def test_profiling_an_export_sorts_nothing_by_file(spark, tmp_path):
 
 
 def test_more_groups_than_the_map_holds_give_the_same_rows(spark):
-    rows = spark.range(3000).select((F.col("id") % 700).alias("k"), F.col("id").cast("string").alias("t"))
+    rows = spark.range(3000).select("id", (F.col("id") % 700).alias("k"), F.col("id").cast("string").alias("t"))
     expected = sorted(map(tuple, rows.groupBy("k").agg(F.max("t"), F.max_by("t", "id")).collect()))
     assert sorted(map(tuple, rows.groupBy("k").agg(layers.unsorted(F.max("t")), layers.unsorted(F.max_by("t", "id"))).collect())) == expected
