@@ -10,6 +10,7 @@ turns, across components only, others; a class is compared with the one that it
 buckets. Where a bucket then still holds different
 components, the pairs across them are looked at: all of them in a small bucket, those found by an
 exact search over prefixes of rare shingles in a larger one.
+Beyond the first pairs, only those that signatures rule out for certain are not compared.
 All pairs are confirmed on the full shingle sets; pairs inside a component that is already joined are
 left alone, since components need no more links.
 """
@@ -31,8 +32,8 @@ from siltline.llm.common import Workspace, fresh, table
 COORDINATES, BANDS = 128, 32
 SMALL = 16  # members of a bucket that are all paired
 TURNS = 4  # at most, of pairing with a member chosen at random; the exact search follows anyhow
-SIGNED = ["s0", "s1", "s2", "s3"]
-LIKELY = 0.6  # of the coordinates; 5.7 standard deviations below similarity 0.8
+SIGNED = [f"s{i}" for i in range(8)]
+LIKELY = 0.6  # of the coordinates agree, or a pair is not looked at first; later ones are judged by signatures and texts
 
 LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
 FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
@@ -102,16 +103,20 @@ def sketch(members: np.ndarray) -> np.ndarray:
 
 
 def signature(members: np.ndarray) -> np.ndarray:
-    """256 bits, each the parity of the members that fall to it: two sets differ in as many members, at least, as
+    """512 bits, each the parity of the members that fall to it: two sets differ in as many members, at least, as
     their signatures do in bits."""
-    parity = np.bincount((members >> np.uint64(13)).astype(np.int64) & 0xFF, minlength=256).astype(np.uint8) & 1
+    parity = np.bincount((members >> np.uint64(13)).astype(np.int64) & 0x1FF, minlength=512).astype(np.uint8) & 1
     return np.packbits(parity).view("<i8")
 
 
+def _unlike(a: str, b: str) -> Column:
+    """In how many bits two signatures differ."""
+    return functools.reduce(lambda x, y: x + y, (F.bit_count(F.col(f"{s}_{a}").bitwiseXOR(F.col(f"{s}_{b}"))) for s in SIGNED))
+
+
 def _may_link(a: str, b: str) -> Column:
     """False only where signatures show that two sets are less than 0.8 alike: more than a ninth of all members differ."""
-    unlike = functools.reduce(lambda x, y: x + y, (F.bit_count(F.col(f"{s}_{a}").bitwiseXOR(F.col(f"{s}_{b}"))) for s in SIGNED))
-    return 9 * unlike <= F.col(f"size_{a}") + F.col(f"size_{b}")
+    return 9 * _unlike(a, b) <= F.col(f"size_{a}") + F.col(f"size_{b}")
 
 
 def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -214,10 +219,6 @@ class Groups:
             if not changed:
                 return labels
 
-    def _confirm(self, pairs: DataFrame, texts: DataFrame) -> DataFrame:
-        """The links among these pairs: likely by the sketches, then certain by the texts."""
-        return self._join(self._join(pairs, self.classes, "sketch", _alike), texts, "text", _confirmed)
-
     def components(self) -> DataFrame:
         """(node, root) of all classes that have a link."""
         keep, place = self.place.keep, self.place
@@ -234,19 +235,24 @@ class Groups:
 
         # First every bucket's members with its least. A class meets nearly the same few in all of its
         # buckets, so it is compared with one only, which it shares most buckets with.
-        links = keep(self._confirm(_likeliest(bucketed.where("node <> center")), texts), "links-first")
+        likely = self._join(_likeliest(bucketed.where("node <> center")), self.classes, "sketch", _alike)
+        links = keep(self._join(likely, texts, "text", _confirmed), "links-first")
         labels = self._components(links, "first")
 
         # The same with other members in the middle, which buckets choose by orders of their own, for
-        # what is still apart from them.
+        # what is still apart from them; a class is compared with the one whose signature is nearest to its own.
+        signed = keep(bucketed.select("bucket", "node").join(self.classes.select("node", "size", *SIGNED), "node"), "signed")
         for turn in range(TURNS):
-            rooted = bucketed.select("bucket", "node").join(labels, "node", "left").select("bucket", "node", F.coalesce("root", "node").alias("root"))
+            rooted = signed.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
             drawn = F.col("node").bitwiseXOR(F.xxhash64("bucket", F.lit(turn)))
             middle = rooted.groupBy("bucket").agg(
-                F.min("root").alias("low"), F.max("root").alias("high"), F.min_by("node", drawn).alias("center"), F.min_by("root", drawn).alias("beyond")
-            ).where("low < high").select("bucket", "center", "beyond")
-            around = rooted.join(middle, "bucket").where("root <> beyond")
-            more = keep(self._confirm(_likeliest(around), texts), f"links-turn-{turn}")
+                F.min("root").alias("low"), F.max("root").alias("high"),
+                *(F.min_by(c, drawn).alias(f"{c}_a") for c in ("node", "root", "size", *SIGNED)),
+            ).where("low < high")
+            around = rooted.select("bucket", *(F.col(c).alias(f"{c}_b") for c in ("node", "root", "size", *SIGNED))).join(middle, "bucket")
+            share = _unlike("a", "b") * (1 << 20) / (F.col("size_a") + F.col("size_b"))
+            nearest = around.where("root_a <> root_b").where(_may_link("a", "b")).groupBy("node_b").agg(F.min_by("node_a", share).alias("a"))
+            more = keep(self._join(nearest.select("a", F.col("node_b").alias("b")), texts, "text", _confirmed), f"links-turn-{turn}")
             if not more.limit(1).count():
                 break
             links = keep(links.union(more), f"links-all-{turn}")
@@ -259,12 +265,12 @@ class Groups:
         few = mixed_members.where(f"n <= {SMALL}").join(self.classes.select("node", "size", *SIGNED), "node")
         a, b = (few.select("bucket", F.col("node").alias(n), *(F.col(c).alias(f"{c}_{n}") for c in ("root", "size", *SIGNED))) for n in "ab")
         paired = keep(a.join(b, "bucket").where("a < b AND root_a <> root_b").where(_may_link("a", "b")).select("a", "b").distinct(), "paired")
-        late = self._confirm(paired, texts)
+        late = self._join(paired, texts, "text", _confirmed)
         rest = self._rest(mixed_members.where(f"n > {SMALL}").select("node", "root").distinct(), texts)
         late = keep(late if rest is None else late.union(self._join(rest, texts, "text", _confirmed)), "links-3")
         if late.limit(1).count():
             labels = self._components(links.union(late), "round-3")
-        place.drop("texts", "members", "mixed", "paired")
+        place.drop("texts", "members", "signed", "mixed", "paired")
         return labels
 
     def _rest(self, nodes: DataFrame, texts: DataFrame) -> DataFrame | None:
