@@ -5,11 +5,11 @@ hash of the first round that reaches it, and bins still empty after 128 rounds g
 own, so every coordinate fills and agreement concentrates around the similarity. 32 bands of four
 coordinates find a pair at similarity 0.8 except with probability 5e-8.
 
-Equal sets are one class throughout. In a bucket, all classes first meet its least one, then in some
-turns, across components only, others; a class is compared with the one that it meets in most of its
-buckets. Where a bucket then still holds different
-components, the pairs across them are looked at: all of them in a small bucket, those found by an
-exact search over prefixes of rare shingles in a larger one.
+Equal sets are one class throughout. In a bucket, all classes first meet its least one, and each is
+compared with the one that it meets in most of its buckets; then, in two turns and across components
+only, they meet others, and each is compared with the one whose signature is nearest to its own.
+Where a bucket then still holds different components, the pairs across them are looked at: all of
+them in a small bucket, those found by an exact search over prefixes of rare shingles in a larger one.
 Beyond the first pairs, only those that signatures rule out for certain are not compared.
 All pairs are confirmed on the full shingle sets; pairs inside a component that is already joined are
 left alone, since components need no more links.
@@ -31,7 +31,7 @@ from siltline.llm.common import Workspace, fresh, table
 
 COORDINATES, BANDS = 128, 32
 SMALL = 16  # members of a bucket that are all paired
-TURNS = 4  # at most, of pairing with a member chosen at random; the exact search follows anyhow
+TURNS = 2  # of pairing with a member chosen at random; the exact search follows anyhow
 SIGNED = [f"s{i}" for i in range(8)]
 LIKELY = 0.6  # of the coordinates agree, or a pair is not looked at first; later ones are judged by signatures and texts
 
