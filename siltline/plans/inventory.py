@@ -23,7 +23,7 @@ def inventory(
     paths = [row[0] for row in listed.where("size_bytes > 0").select("source_file").collect()]
     if not paths:
         raise ValueError(f"no CSV files with content in {folder}")
-    settings = cut_lineage(files.file_settings(spark, paths, delimiter))
+    settings = cut_lineage(files.file_settings(spark, listed.where("size_bytes > 0"), delimiter))
     by_delimiter: dict[str, list[str]] = {}
     for row in settings.select("source_file", "delimiter").collect():
         by_delimiter.setdefault(row.delimiter, []).append(row.source_file)

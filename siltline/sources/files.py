@@ -6,10 +6,12 @@ import codecs
 import csv
 import io
 import os
+import re
 from collections.abc import Iterator, Sequence
 from urllib.parse import unquote
 
 import pyarrow as pa
+from pyarrow import fs as arrow_fs
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from siltline import fixed
@@ -88,13 +90,96 @@ def read_header(
 
 
 def file_settings(
-    spark: SparkSession, paths: Sequence[str], delimiter: str | None = None, sample_bytes: int = fixed.SAMPLE_BYTES
+    spark: SparkSession, paths: Sequence[str] | DataFrame, delimiter: str | None = None, sample_bytes: int = fixed.SAMPLE_BYTES
 ) -> DataFrame:
     """Encoding, delimiter, dialect and first record of every non-empty file.
 
-    The sample bounds what encoding and dialect are guessed from; the header is a whole record, for
-    which lines are taken until it ends. Only lines of first splits leave the scan.
+    ``paths`` are files or folders, or a frame with ``source_file``, which then never passes the driver.
+    The sample bounds what encoding and dialect are guessed from; the header is a whole record. Tasks
+    read each file from its beginning, as far as the sample and the header go (``read_settings``). Stores
+    that only Spark's readers can open are scanned instead.
     """
+    if isinstance(paths, DataFrame):
+        listed, probe = paths.select("source_file"), paths.select("source_file").limit(1).collect()
+        if not probe:
+            return spark.createDataFrame([], SETTINGS_SCHEMA)
+        first = [row[0] for row in probe]
+    else:
+        default = spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS") or "file:///"
+        root = "" if default.startswith("file:") else default.rstrip("/")
+        first = [path if ":/" in path or not path.startswith("/") else root + path for path in paths]
+        listed = spark.createDataFrame([(path,) for path in first], "source_file string")
+    if not all(_opens(path) for path in first):
+        return _scanned_settings(spark, [row[0] for row in listed.collect()] if isinstance(paths, DataFrame) else paths, delimiter, sample_bytes)
+
+    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path in batch.column(0).to_pylist():
+                for name, store, place in _files_at(path):
+                    with store.open_input_stream(place) as source:
+                        found = read_settings(source, name, delimiter, sample_bytes)
+                    if found is not None:
+                        yield found
+
+    tasks = 4 * spark.sparkContext.defaultParallelism
+    return listed.repartition(tasks, "source_file").mapInArrow(describe, SETTINGS_SCHEMA)
+
+
+def _store(path: str) -> tuple[arrow_fs.FileSystem, str]:
+    if path.startswith("file:"):
+        return arrow_fs.LocalFileSystem(), re.sub("^file:/+", "/", path)
+    return arrow_fs.FileSystem.from_uri(path) if "://" in path else (arrow_fs.LocalFileSystem(), os.path.abspath(path))
+
+
+def _opens(path: str) -> bool:
+    """Whether tasks can open the store of ``path`` by themselves."""
+    try:
+        _store(path)
+    except (pa.ArrowException, OSError, ValueError):
+        return False
+    return True
+
+
+def _files_at(path: str) -> Iterator[tuple[str, arrow_fs.FileSystem, str]]:
+    """(source_file, store, place) of a file, or of the files of a folder that Spark would read."""
+    store, place = _store(path)
+    shown = place if isinstance(store, arrow_fs.LocalFileSystem) else path.rstrip("/")
+    info = store.get_file_info(place)
+    if info.type == arrow_fs.FileType.NotFound:
+        raise FileNotFoundError(path)
+    if info.type == arrow_fs.FileType.File:
+        yield shown, store, place
+        return
+    for found in store.get_file_info(arrow_fs.FileSelector(place)):
+        if found.type == arrow_fs.FileType.File and not found.base_name.startswith(("_", ".")):
+            yield f"{shown.rstrip('/')}/{found.base_name}", store, found.path
+
+
+def read_settings(source, file: str, delimiter: str | None, sample_bytes: int) -> pa.RecordBatch | None:
+    """The settings row of a file from its first bytes, None if it is empty.
+
+    Lines are taken until the sample is full, then twice as much until a line follows the header record;
+    of a file of any size not much more than the sample, or twice the header, is read.
+    """
+    data, wanted, ended = bytearray(), sample_bytes, False
+    while True:
+        end = data.find(b"\n", wanted - 1)
+        while end < 0 and not ended:
+            more = source.read(max(wanted - len(data), sample_bytes))
+            seen = max(wanted - 1, len(data))
+            data += more
+            ended, end = not more, data.find(b"\n", seen)
+        if not data:
+            return None
+        head = bytes(data[:end + 1]) if end >= 0 else bytes(data).removesuffix(b"\n") + b"\n"
+        row, complete = _settings_row(file, head, delimiter, sample_bytes)
+        if complete or end < 0:
+            return row
+        wanted *= 2
+
+
+def _scanned_settings(spark: SparkSession, paths: Sequence[str], delimiter: str | None, sample_bytes: int) -> DataFrame:
+    """The same from a scan; only lines of first splits leave it."""
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (file, _), chunk in _by_split(batches):
