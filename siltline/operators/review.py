@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from siltline import fixed
 from siltline.operators.folding import unsorted
+from siltline.operators.records import first_rows
 
 COMPARED = ["defined_sql_type", "nullability", "max_string_length"]
 
@@ -155,6 +156,30 @@ def blocking_files(reviewed: DataFrame) -> DataFrame:
     return reviewed.where(F.col("review_status").isin("PENDING", "REJECTED")).select("file_name", "review_status").distinct()
 
 
+def approval_gate(reviewed: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """What the gate decides, as a row per review (``keys``; one row without): files, the files that block it in order
+    (the first ten), columns that may be used, which are none while a file blocks. An empty review is complete."""
+    keys = keys or []
+    blocks = F.col("review_status").isin("PENDING", "REJECTED")
+    per_file = reviewed.groupBy(*keys, "file_name", "review_status").agg(F.count_if(F.col("review_status") == "APPROVED").alias("columns"))
+    # A file counts once, and it blocks with any of its statuses; only names are folded, not rows.
+    files = per_file.groupBy(*keys, "file_name").agg(
+        F.count_if(blocks).alias("blocking"), F.sum("columns").alias("columns"),
+        unsorted(F.max(F.when(blocks, F.concat("file_name", F.lit(" ("), "review_status", F.lit(")"))))).alias("shown"),
+    )
+    first = first_rows(files.where("blocking > 0"), keys, [F.col("file_name")], 10, "at")
+    named = first.groupBy(*keys).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "shown"))), lambda f: f["shown"]), ", ").alias("blocking_files"))
+    counts = files.groupBy(*keys).agg(
+        F.count("*").alias("file_count"), F.count_if(F.col("blocking") > 0).alias("blocking_count"), F.coalesce(F.sum("columns"), F.lit(0)).alias("columns")
+    )
+    joined = counts.join(named, keys, "left") if keys else counts.join(F.broadcast(named), F.lit(True), "left")
+    complete = F.col("blocking_count") == 0
+    return joined.select(
+        *keys, "file_count", "blocking_count", F.coalesce("blocking_files", F.lit("")).alias("blocking_files"),
+        complete.alias("is_complete"), F.when(complete, F.col("columns")).otherwise(F.lit(0)).cast("bigint").alias("approved_column_count"),
+    )
+
+
 def approved_schema(reviewed: DataFrame) -> DataFrame:
     """The reviewed columns with their final types; refuses while a file is pending or rejected."""
     open_files = blocking_files(reviewed).orderBy("file_name").limit(10).collect()
@@ -169,7 +194,7 @@ def approved_columns(reviewed: DataFrame) -> DataFrame:
     kept = [
         c for c in (
             "file_name", "table_name", "column_name", "defined_sql_type", "final_sql_type", "override_sql_type",
-            "nullability", "nullable_flag", "confidence_pct", "review_notes",
+            "nullability", "nullable_flag", "confidence_pct", "review_notes", "approved_by", "approved_at_utc", "file_review_notes",
         ) if c in reviewed.columns
     ]
     return reviewed.where("review_status = 'APPROVED'").select(*kept)

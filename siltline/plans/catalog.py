@@ -810,6 +810,30 @@ def approved_schema_gated(spark, folder):
     )
 
 
+@query
+def approved_schema_complete(spark, folder):
+    """The approved schema through its gate over all files, with who approved them, when, and their notes."""
+    catalog = snapshot(spark, folder, early=False)
+    first = F.left("file_name", F.lit(1))
+    approved = catalog.select("file_name").distinct().select(
+        "file_name", F.lit("Approved ").alias("review_status"), F.when(first != "1", F.lit("lead")).otherwise(F.lit("")).alias("approved_by"),
+        F.concat(F.lit("checked "), first).alias("review_notes"),
+    )
+    decided = review.apply_decisions(catalog, approved, decided_at=LOADED_AT)
+    return review.approved_schema(decided).select(
+        "file_name", "column_name", "final_sql_type", "nullability", "approved_by", "approved_at_utc", "file_review_notes"
+    )
+
+
+@query
+def approval_gate(spark, folder):
+    """The gate over a review with open files and over the approved part of it."""
+    review_of = reviewed(spark, folder)
+    part = review_of.where("review_status = 'APPROVED'")
+    both = review_of.withColumn("review", F.lit("all files")).unionByName(part.withColumn("review", F.lit("approved files")))
+    return review.approval_gate(both, ["review"])
+
+
 @query
 def blocking_files(spark, folder):
     return review.blocking_files(reviewed(spark, folder))

