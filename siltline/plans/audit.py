@@ -6,6 +6,7 @@ latest value of each column.
 
 from __future__ import annotations
 
+import threading
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -38,6 +39,10 @@ TABLES = {
 }
 
 
+# Keys that one logged profile reserves.
+MOST_COLUMNS = 100_000
+
+
 class Audit:
     """Writer and reader of the four tables."""
 
@@ -59,10 +64,16 @@ class Audit:
         frame = self.spark.createDataFrame([row], TABLES[name])
         frame.coalesce(1).write.mode("append").insertInto(f"{self.database}.{name}")
 
-    @staticmethod
-    def _id(moment: datetime) -> int:
-        """Event keys grow with time: microseconds since the epoch."""
-        return int(moment.timestamp() * 1_000_000)
+    _lock, _last = threading.Lock(), 0
+
+    @classmethod
+    def _id(cls, moment: datetime, rows: int = 1) -> int:
+        """The first of ``rows`` keys of this process's own: they grow with time (nanoseconds since the epoch) and
+        go on from the last one where several events share a moment, so rows of a run never tie."""
+        with cls._lock:
+            first = max(int(moment.timestamp() * 1_000_000) * 1000, Audit._last + 1)
+            Audit._last = first + rows - 1
+        return first
 
     def start_run(self, run_id: str, pipeline: str, source: str, target: str | None, at: datetime) -> None:
         self._append("PipelineRunEvent", {
@@ -117,7 +128,7 @@ class Audit:
             "DefinedSqlType": F.coalesce("carried", "defined_sql_type"),
             "MinMaxValueTypeMismatchFlag": F.col("min_max_value_type_mismatch_flag").cast("boolean"),
             "CapturedAt": F.lit(at).cast("timestamp"),
-            "AutoId": F.lit(self._id(at)) * 1000 + F.col("ordinal_position"),
+            "AutoId": F.lit(self._id(at, MOST_COLUMNS + 1)) + F.col("ordinal_position"),
         }
         logged = rows.select(*[value.alias(name) for name, value in values.items()])
         logged.coalesce(1).write.mode("append").insertInto(f"{self.database}.ColumnProfileLog")

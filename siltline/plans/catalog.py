@@ -683,6 +683,15 @@ def zen_append_autoid(spark, folder):
     return first.unionByName(later)
 
 
+@query
+def zen_appended_rows(spark, folder):
+    """Keyed staged rows appended to a trusted table: their keys are moved behind the highest in use."""
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_orderstatus")
+    trusted = surrogate.key_by_order(orders.where("o_orderstatus = 'F'"), ["o_orderkey"])
+    staged = surrogate.key_by_order(orders.where("o_orderstatus <> 'F'"), ["o_orderkey"])
+    return trusted.unionByName(layers.appended_rows(staged, orders.columns, surrogate.next_start(trusted)))
+
+
 @query
 def stage_position_key(spark, folder):
     keyed = surrogate.key_by_position(table(spark, folder, "lineitem"))

@@ -860,6 +860,8 @@ def statements() -> dict[str, str]:
         "stage_autoid": "SELECT o_orderdate, o_orderkey, o_custkey, row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS \"AutoId\" FROM orders",
         "zen_append_autoid": """
           SELECT o_orderkey, o_orderstatus, row_number() OVER (ORDER BY o_orderstatus <> 'F', o_orderkey) AS "AutoId" FROM orders""",
+        "zen_appended_rows": """
+          SELECT o_orderkey, o_orderstatus, row_number() OVER (ORDER BY o_orderstatus <> 'F', o_orderkey) AS "AutoId" FROM orders""",
         "stage_position_key": "SELECT count(*) AS row_count, count(*) AS distinct_keys, cast(1 AS bigint) AS first_key, count(*) AS last_key FROM lineitem",
         "prior_types": PRIOR,
         "carried_types": f"WITH p AS ({PRIOR}) SELECT * FROM p UNION ALL SELECT \"TableName\" || '_7', \"ColumnName\", \"DefinedSqlType\" FROM p",
