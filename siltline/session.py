@@ -31,7 +31,10 @@ def open_session(name: str = "siltline", **extra: str) -> SparkSession:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the shared folder that the session names, else one beside its warehouse, which is shared too."""
+    """Use the shared folder that the session names, else one beside its warehouse, which is shared too.
+
+    On a cluster a warehouse on a local disk is not shared, so the folder must be named there.
+    """
     context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isDefined():
         return
@@ -40,6 +43,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     )
     if named is None:
         warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        if not context.master.startswith("local") and (warehouse.startswith("file:") or ":/" not in warehouse):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share; the warehouse is on a local disk")
         named = f"{warehouse}-checkpoints"
     context.setCheckpointDir(named)
 

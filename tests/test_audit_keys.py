@@ -3,7 +3,10 @@
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timedelta
 
+import pytest
+
 from siltline.plans.audit import MOST_COLUMNS, Audit
+from siltline.session import ensure_checkpoint_dir
 
 
 def test_keys_of_one_moment_differ_and_grow():
@@ -27,3 +30,42 @@ def test_events_of_a_run_are_in_order(spark):
     for n in (1, 2):
         audit.count("r1", "p", "raw.A", "RAW_LOAD", n, at=moment)
     assert {r.proper_row_count for r in audit.summary(["r1"]).where("step_name = 'RAW_LOAD'").collect()} == {2}
+
+
+class Cluster:
+    """What ``ensure_checkpoint_dir`` asks of a session, with no folder named."""
+
+    def __init__(self, master, warehouse):
+        self.master, self.warehouse, self.chosen = master, warehouse, None
+        self.sparkContext = self._jsc = self.conf = self
+
+    def sc(self):
+        return self
+
+    def getCheckpointDir(self):
+        return self
+
+    def isDefined(self):
+        return False
+
+    def getConf(self):
+        return {}
+
+    def get(self, key, default=None):
+        return self.warehouse if key == "spark.sql.warehouse.dir" else default
+
+    def setCheckpointDir(self, folder):
+        self.chosen = folder
+
+
+def test_a_local_warehouse_is_no_shared_folder_of_a_cluster():
+    for master, warehouse, fits in (
+        ("local[8]", "file:/tmp/w", True), ("yarn", "hdfs://n/w", True), ("yarn", "file:/tmp/w", False), ("spark://h:7077", "/tmp/w", False),
+    ):
+        session = Cluster(master, warehouse)
+        if fits:
+            ensure_checkpoint_dir(session)
+            assert session.chosen == f"{warehouse}-checkpoints"
+        else:
+            with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+                ensure_checkpoint_dir(session)
