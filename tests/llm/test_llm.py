@@ -128,6 +128,40 @@ def test_mixing_meets_its_margins(spark):
     assert all(0 <= r["probability"] <= 1 for r in got)
 
 
+def reachable_goals(held, budget):
+    """Brute force: shares to the power of production, whole where the rest of the budget would overfill a category."""
+    share, whole = {k: v ** mixing.SMOOTHING for k, v in held.items()}, set()
+    while True:
+        rest = budget - sum(held[k] for k in whole)
+        scale = rest / (sum(v for k, v in share.items() if k not in whole) or 1)
+        more = {k for k in held if k not in whole and share[k] * scale >= held[k]}
+        if not more:
+            return {k: held[k] if k in whole else share[k] * scale for k in held}
+        whole |= more
+
+
+def test_mixing_with_production_values(spark):
+    rows = queries.QUERIES["op2_mixing"](spark, "/root/testdata/sf0.01").collect()
+    total, expected = sum(r["n_tokens"] for r in rows), sum(r["n_tokens"] * r["probability"] for r in rows)
+    assert abs(expected / total - mixing.BUDGET) < 0.005 * mixing.BUDGET
+    for margin in mixing.MARGINS:
+        held, got = collections.Counter(), collections.Counter()
+        for r in rows:
+            held[r[margin]] += r["n_tokens"]
+            got[r[margin]] += r["n_tokens"] * r["probability"]
+        for name, goal in reachable_goals(held, mixing.BUDGET * total).items():
+            assert abs(got[name] - goal) <= 0.01 * goal, (margin, name, got[name], goal)
+
+
+def test_mixing_hands_on_what_small_categories_lack(spark):
+    held = [("a", 1.0, 5.0), ("b", 10.0, 5.0), ("c", 100.0, 5.0), ("d", 0.0, 5.0), ("e", 50.0, 0.0), (None, 100.0, 5.0)]
+    frame = spark.createDataFrame(held, "name string, held double, share double")
+    got = {r["name"]: (r["goal"], r["whole"]) for r in mixing.reachable(frame, 111.0).collect()}
+    assert got == {"a": (1.0, True), "b": (10.0, True), "c": (50.0, False), "d": (0.0, True), "e": (0.0, False), None: (50.0, False)}
+    full = {r["name"]: r["goal"] for r in mixing.reachable(frame, 1000.0).collect()}
+    assert full == {"a": 1.0, "b": 10.0, "c": 100.0, "d": 0.0, "e": 0.0, None: 100.0}
+
+
 def test_mixing_of_odd_rows(odd, nothing):
     assert mixing.mix(odd).count() == odd.count() and mixing.mix(nothing).count() == 0
     kept = mixing.sample_mixture(odd)
