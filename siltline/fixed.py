@@ -137,3 +137,6 @@ MESSAGE_DUPLICATE_ROWS = " duplicate data rows detected."
 ERROR_MASKS = [(r"(?i)\brow\s+\d+\b", "row <n>"), (r"(?i)\bline\s+\d+\b", "line <n>"), (r"\b\d+\b", "<n>")]
 ERROR_ROW = r"(?i)row\s+(\d+)"
 ERROR_COLUMN = r"(?i)column\s+([^\s,:;]+)"
+
+# Decisions in a reviewed anomaly file that accept a row.
+ACCEPTED_DECISIONS = ("accept", "accepted", "approve", "approved", "yes", "y")

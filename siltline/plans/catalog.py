@@ -19,6 +19,7 @@ from siltline.operators import (
     anomalies, checks, digest, harmonise, headers, history, profile, quarantine, records, review, rollup, surrogate,
     tokens, variants,
 )
+from siltline.operators import review_file as review_file_rows
 from siltline.plans import layers, pipeline, reports
 from siltline.session import cut_lineage
 
@@ -1007,3 +1008,35 @@ GROUP BY l_returnflag, l_linestatus;
 def sql_step(spark, folder):
     table(spark, folder, "lineitem").createOrReplaceTempView("lineitem")
     return pipeline.run_sql(spark, STEP_SQL)
+
+
+def review_lines(spark, folder) -> DataFrame:
+    """Lines of a reviewed anomaly file, one per part: quoted names, lines of another width, renames that clash."""
+    key, form = F.col("p_partkey"), F.col("p_partkey") % 7
+
+    def field(value: Column) -> Column:
+        return F.concat(F.lit('"'), F.replace(value, F.lit('"'), F.lit('""')), F.lit('"'))
+
+    kind = by_remainder(
+        key, 7, {0: F.lit("unnamed_source_column_with_values"), 2: F.lit("named_variant_only_column"), 4: F.lit("something_else")},
+        F.lit("possible_rename_pair"),
+    )
+    name = by_remainder(
+        key, 7, {1: F.concat(F.lit("A,"), key), 6: F.concat(F.lit("Twice "), F.floor(key / 35))}, F.concat(F.lit('Col "'), F.col("p_name"), F.lit('"'))
+    )
+    following = F.when(key % 3 == 0, F.concat(F.lit("A,"), key + 7)).otherwise(F.concat(F.lit("T "), key))
+    target = by_remainder(key, 7, {1: following, 5: F.lit(" "), 6: F.concat(F.lit("T "), key)}, F.lit(""))
+    decision = F.when(key % 2 == 0, " Yes ").otherwise("")
+    whole = F.concat_ws(",", F.lower("p_type"), kind, field(name), field(target), decision)
+    line = F.when(form == 3, F.concat_ws(",", F.lower("p_type"), kind, field(name))).otherwise(whole)
+    return table(spark, folder, "part").select(key, line.alias("line"))
+
+
+@query
+def review_file(spark, folder):
+    return review_file_rows.parse_review(review_lines(spark, folder), "p_partkey")
+
+
+@query
+def review_file_decided(spark, folder):
+    return review_file_rows.parse_review(review_lines(spark, folder), "p_partkey", require_decision=True)

@@ -413,7 +413,7 @@ def read_review(spark: SparkSession, path: str, require_decision: bool = False)
     """Drops and rename pairs per entity from a reviewed anomaly CSV (a column catalog, collected)."""
     rows = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
     if require_decision:
-        rows = rows.where(F.lower(F.trim("review_decision")).isin("accept", "accepted", "approve", "approved", "yes", "y"))
+        rows = rows.where(F.lower(F.trim("review_decision")).isin(*fixed.ACCEPTED_DECISIONS))
     grouped = rows.groupBy(F.upper("entity_name").alias("entity")).agg(
         F.array_sort(F.collect_set(F.when(F.col("anomaly_type") == "unnamed_source_column_with_values", F.col("hrm_column_name")))).alias("drops"),
         F.array_sort(

@@ -932,4 +932,25 @@ def statements() -> dict[str, str]:
           SELECT l_returnflag, l_linestatus, sum(cast(l_quantity AS decimal(15,2))) AS sum_qty,
             sum(cast(l_extendedprice AS decimal(15,2))) AS sum_base_price, count(*) AS count_order
           FROM lineitem WHERE l_shipdate <= TIMESTAMP '2001-09-02 00:00:00' GROUP BY ALL""",
+        "review_file": review_actions("true"),
+        "review_file_decided": review_actions("p_partkey % 2 = 0"),
     }
+
+
+def review_actions(accepted: str) -> str:
+    """Actions of the review file from the values that its lines are made of."""
+    return f"""
+      WITH v AS (
+        SELECT p_partkey, upper(p_type) AS entity_name, p_partkey % 7 AS form, {accepted} AS accepted,
+          CASE p_partkey % 7 WHEN 1 THEN 'A,' || p_partkey WHEN 6 THEN 'Twice ' || (p_partkey // 35) ELSE 'Col "' || p_name || '"' END AS column_name,
+          CASE p_partkey % 7 WHEN 1 THEN CASE WHEN p_partkey % 3 = 0 THEN 'A,' || (p_partkey + 7) ELSE 'T ' || p_partkey END
+            WHEN 6 THEN 'T ' || p_partkey END AS target_name FROM part),
+      r AS (SELECT DISTINCT entity_name, column_name, target_name FROM v WHERE form IN (1, 6) AND accepted),
+      j AS (SELECT v.*, form IN (1, 6) AND accepted AS renamed,
+        (SELECT count(*) FROM r WHERE r.entity_name = v.entity_name AND r.column_name = v.column_name) AS targets,
+        EXISTS (SELECT 1 FROM r WHERE r.entity_name = v.entity_name AND r.target_name = v.column_name)
+          OR EXISTS (SELECT 1 FROM r WHERE r.entity_name = v.entity_name AND r.column_name = v.target_name) AS chained FROM v),
+      w AS (SELECT *, CASE form WHEN 3 THEN 'another number of fields' WHEN 4 THEN 'unknown anomaly type' WHEN 5 THEN 'no target' ELSE
+        CASE WHEN renamed AND targets > 1 THEN 'more than one target' WHEN renamed AND chained THEN 'source and target of renames' END END AS reason FROM j)
+      SELECT p_partkey, entity_name, CASE WHEN reason IS NOT NULL THEN 'reject' WHEN NOT accepted THEN 'skip'
+        WHEN form = 0 THEN 'drop' WHEN form = 2 THEN 'note' ELSE 'rename' END AS action, column_name, target_name, reason FROM w"""
