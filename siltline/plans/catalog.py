@@ -329,6 +329,15 @@ def stage_orders(spark, folder):
     return layers.stage(messy, stage_layout(messy))
 
 
+@query
+def stage_orders_wide(spark, folder):
+    """A note declared VARCHAR(MAX) in raw stays whole although the profile says VARCHAR(5)."""
+    messy = messy_orders(spark, folder)
+    wide = {"Priority.Note": "VARCHAR(MAX)"}
+    declared = messy.select(*[F.col(f"`{c}`").alias(c, metadata={layers.DECLARED: wide.get(c, "")}) for c in messy.columns])
+    return layers.stage(declared, stage_layout(declared))
+
+
 @query
 def stage_orders_nulls(spark, folder):
     messy = messy_orders(spark, folder)

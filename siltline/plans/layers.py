@@ -19,6 +19,8 @@ from siltline.sources.exports import Export, ExportProfile, file_gates, text_wid
 
 # While a table is replaced, its next content and its last one stand beside it under these names.
 LOADING, REPLACED = "__loading", "__replaced"
+# Metadata of a raw column: its declared SQL type, which the catalog keeps with the table.
+DECLARED = "sql_type"
 
 
 def _run(spark: SparkSession, statement: str) -> None:
@@ -41,6 +43,17 @@ def recover(spark: SparkSession, table: str) -> None:
             _run(spark, f"ALTER TABLE {table}{REPLACED} RENAME TO {table}")
     if spark.catalog.tableExists(table + LOADING):
         _run(spark, f"DROP TABLE {table}{LOADING}")
+    _discard_files(spark, table + LOADING)
+
+
+def _discard_files(spark: SparkSession, table: str) -> None:
+    """Remove the folder of a table that the catalog doesn't know: a failed write may leave files, and
+    no table could be created over them."""
+    database, name = table.split(".", 1)
+    if spark.catalog.tableExists(table):
+        return
+    path = spark._jvm.org.apache.hadoop.fs.Path(spark.catalog.getDatabase(database).locationUri, name.lower())
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def layer_table(spark: SparkSession, table: str) -> DataFrame:
@@ -164,11 +177,12 @@ def raw_rows(export: Export, profile_config: ExportProfile, loaded_at: datetime)
     chosen = []
     for source, target in profile_config.column_mappings.items():
         value = text.scrub(text.blank_to_null(export.value(source)))
-        width = text_width(profile_config.column_sql_types.get(target, fixed.RAW_TEXT_TYPE))
+        declared = profile_config.column_sql_types.get(target, fixed.RAW_TEXT_TYPE)
+        width = text_width(declared)
         if width:
             too_long = F.raise_error(F.lit(f"value longer than {width} characters in column {target}"))
             value = F.when(F.length(value) > width, too_long.cast("string")).otherwise(value)
-        chosen.append(value.alias(target))
+        chosen.append(value.alias(target, metadata={DECLARED: declared}))
     if len(set(targets)) != len(targets):
         raise ValueError("column_mappings name a target twice")
     return export.good().select(
@@ -255,10 +269,12 @@ def stage_columns(
     """The staged layout: one entry per column of the latest profile, or of the raw table without one.
 
     ``profiled`` has ``ordinal_position, column_name, recommended_sql_type, defined_sql_type``, and may have
-    ``nullability`` (see ``constraints.may_be_null``); a raw VARCHAR(MAX) column stays so. Only the column
-    catalog is collected.
+    ``nullability`` (see ``constraints.may_be_null``). A raw VARCHAR(MAX) column stays so under a narrower
+    profile; ``raw_types`` overrides what the raw table's columns were declared as. Only the column catalog
+    is collected.
     """
     spark = raw.sparkSession
+    declared = {f.name: f.metadata[DECLARED] for f in raw.schema.fields if f.metadata.get(DECLARED)}
     data = [c for c in raw.columns if c not in fixed.RAW_METADATA]
     if profiled is None:
         profiled = spark.createDataFrame(
@@ -268,7 +284,7 @@ def stage_columns(
     chosen = F.col("defined_sql_type")
     if type_authority == "recommended":
         chosen = F.coalesce(F.nullif("recommended_sql_type", F.lit("")), chosen)
-    wide = [c for c, kind in (raw_types or {}).items() if kind.strip().upper() in ("VARCHAR(MAX)", "NVARCHAR(MAX)")]
+    wide = [c for c, kind in {**declared, **(raw_types or {})}.items() if kind.strip().upper() in ("VARCHAR(MAX)", "NVARCHAR(MAX)")]
     kept_wide = F.col("column_name").isin(wide) & chosen.rlike("(?i)^(N?VARCHAR|N?CHAR)")
     rows = (
         profiled.select(

@@ -199,11 +199,14 @@ AMOUNT = f"try_cast({numeric('\"OrderAmount\"')} AS decimal(19,4))"
 QTY = "CASE WHEN regexp_matches(\"LINE QTY\", '^[+-]?[0-9]+(\\.0*)?\\z') THEN cast(split_part(\"LINE QTY\", '.', 1) AS integer) END"
 
 
-def staged(default: bool, day: str) -> str:
+WIDE_NOTE = """nullif(trim("Priority.Note"), '')"""
+
+
+def staged(default: bool, day: str, note: str = 'left(nullif(trim("Priority.Note"), ' + "''" + '), 5)') -> str:
     wrap = (lambda x, d: f"coalesce({x}, {d})") if default else (lambda x, d: x)
     return f"""
       SELECT {wrap(IDENTIFIER, "''")} AS "OrderID", {wrap(AMOUNT, "cast(0 AS decimal(19,4))")} AS "OrderAmount", {day} AS "OrderDate",
-        {wrap('left(nullif(trim("Priority.Note"), ' + "''" + '), 5)', "''")} AS "Priority_Note", {wrap(QTY, "0")} AS "LINE_QTY", "LoadDate", "SFileName"
+        {wrap(note, "''")} AS "Priority_Note", {wrap(QTY, "0")} AS "LINE_QTY", "LoadDate", "SFileName"
       FROM ({MESSY})
     """
 
@@ -753,6 +756,7 @@ def statements() -> dict[str, str]:
             cast(length({short}) AS integer) AS short_length, right({short}, 3) AS short_end, {bucket(f'length({body})')} AS text_type,
             regexp_matches({raw_text}, '{fixed.CONTROL_PATTERN}') AS has_control FROM documents""",
         "stage_orders": f"SELECT * REPLACE ({end_date.replace('d ', '\"OrderDate\" ')} AS \"OrderDate\") FROM ({staged(True, DAY)})",
+        "stage_orders_wide": f"SELECT * REPLACE ({end_date.replace('d ', '\"OrderDate\" ')} AS \"OrderDate\") FROM ({staged(True, DAY, WIDE_NOTE)})",
         "stage_orders_nulls": f"SELECT * REPLACE ({sentinel.replace('d ', '\"OrderDate\" ')} AS \"OrderDate\") FROM ({staged(False, DAY)})",
         "cast_loss": f"""
           WITH m AS ({MESSY})

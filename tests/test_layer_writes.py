@@ -125,3 +125,15 @@ def test_more_groups_than_the_map_holds_give_the_same_rows(spark):
     rows = spark.range(3000).select("id", (F.col("id") % 700).alias("k"), F.col("id").cast("string").alias("t"))
     expected = sorted(map(tuple, rows.groupBy("k").agg(F.max("t"), F.max_by("t", "id")).collect()))
     assert sorted(map(tuple, rows.groupBy("k").agg(layers.unsorted(F.max("t")), layers.unsorted(F.max_by("t", "id"))).collect())) == expected
+
+
+def test_files_of_a_failed_write_do_not_block_the_next_load(spark):
+    from pathlib import Path
+
+    layers.write_table(spark.range(2).toDF("n"), "raw.Stray")
+    where = spark.catalog.getDatabase("raw").locationUri.removeprefix("file:")
+    left = Path(where) / ("stray" + layers.LOADING) / "part-0"
+    left.parent.mkdir(parents=True)
+    left.write_text("left")
+    layers.write_table(spark.range(5, 7).toDF("n"), "raw.Stray")
+    assert rows_of(spark, "raw.Stray") == [5, 6] and not left.exists()
