@@ -704,11 +704,7 @@ def zen_appended_rows(spark, folder):
 
 @query
 def stage_position_key(spark, folder):
-    keyed = surrogate.key_by_position(table(spark, folder, "lineitem"))
-    return keyed.agg(
-        F.count("*").alias("row_count"), F.count_distinct(fixed.AUTO_ID).alias("distinct_keys"),
-        F.min(fixed.AUTO_ID).alias("first_key"), F.max(fixed.AUTO_ID).alias("last_key"),
-    )
+    return surrogate.key_summary(surrogate.key_by_position(table(spark, folder, "lineitem")))
 
 
 # --- profile history ----------------------------------------------------------------------

@@ -347,6 +347,21 @@ def test_keys_are_dense_and_follow_the_order(spark, tmp_path):
     assert sorted(r.AutoId for r in surrogate.key_by_position(table).collect()) == list(range(1, 5001))
 
 
+def test_rows_of_one_file_do_not_meet_in_one_task(spark, tmp_path):
+    spark.range(0, 1000, 1, 1).write.parquet(str(tmp_path / "t"))
+    keyed = surrogate.key_by_position(spark.read.parquet(str(tmp_path / "t")))
+    plan = keyed._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+    assert surrogate.key_summary(keyed).first() == (1000, 1000, 1, 1000)
+
+
+def test_key_summary_of_any_keys(spark):
+    keys = [None, None, 0, 0, -1, -64, -65, 63, 64, 64, 2**63 - 1, -(2**63), 5]
+    keyed = spark.createDataFrame([(k,) for k in keys], "AutoId long").repartition(3)
+    assert surrogate.key_summary(keyed).first() == (13, 9, -(2**63), 2**63 - 1)
+    assert surrogate.key_summary(keyed.limit(0)).first() == (0, 0, None, None)
+
+
 def test_bulk_text_and_reports(spark, tmp_path):
     rows = spark.createDataFrame([("Y", "24.000", "Example Health")], "opt string, pct string, name string")
     columns = [("opt", "BIT"), ("pct", "DECIMAL(18,0)"), ("name", "VARCHAR(255)")]
