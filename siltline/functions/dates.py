@@ -105,11 +105,19 @@ def to_timestamp(c: Column, null_dates: list[str] | None = None) -> Column:
 
 def calendar_day(bare: Column) -> Column:
     """Inference view of a stripped text: its day when it is a date or datetime in any accepted
-    spelling. Texts that cannot start a date are told apart by one cheap test."""
-    day = _rewritten(
-        bare, (FULL_ISO, "$1-$2-$3"), (PACKED_ISO, "$1-$2-$3"), (LOOSE_ISO, "$1-$2-$3"), (SLASHED, "$3-$1-$2")
+    spelling. Cheap tests tell texts apart, so that each meets the patterns of one spelling only."""
+    dashed = F.when(bare.rlike(f"{FULL_ISO}|{LOOSE_ISO}"), F.regexp_extract(bare, "^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}", 0))
+    slashed = F.when(bare.rlike(SLASHED), F.regexp_replace(bare, SLASHED, "$3-$1-$2"))
+    packed = F.when(
+        bare.rlike(PACKED_ISO), F.concat_ws("-", *[F.substring(bare, at, size) for at, size in ((1, 4), (5, 2), (7, 2))])
     )
-    return F.when(bare.rlike(r"^([0-9]{4}-|[0-9]{1,2}/|[0-9]{8})"), _parsed(day))
+    day = F.when(
+        F.length(bare) >= 8,
+        F.when(F.substring(bare, 5, 1) == "-", dashed).when(F.substring(bare, 2, 2).contains("/"), slashed).otherwise(packed),
+    )
+    # A month or day that no calendar has is told before it is read: failing is dear.
+    possible = r"^[0-9]{4}-(0?[1-9]|1[0-2])-(0?[1-9]|[12][0-9]|3[01])\z"
+    return F.when(day.rlike(possible), day.try_cast("date"))
 
 
 def clock_like(c: Column) -> Column:

@@ -138,28 +138,30 @@ def recommend(profiled: DataFrame) -> DataFrame:
 CANDIDATES = list(fixed.TYPE_PRIORITY)
 
 
-def _match_mask(bare: Column, number: Column, day: Column) -> Column:
+def _match_mask(bare: Column, number: Column, day: Column, mantissa: Column) -> Column:
     """Which candidate types a stripped text matches, as bits in the order of ``CANDIDATES``.
 
-    ``number`` and ``day`` are its integer and calendar readings, NULL when it has none.
+    ``number``, ``day`` and ``mantissa`` are its integer, calendar and decimal readings, NULL when it has none.
     """
-    # Cheap tests come first: the costly ones then run on few values.
-    known, zoned = day.isNotNull(), bare.rlike(dates.WITH_ZONE)
+    # Cheap tests come first, and costly ones stand in branches: Spark evaluates a term that occurs twice
+    # ahead of both unless it is in a branch.
+    known = day.isNotNull()
+    zoned = F.when(known, bare.rlike(dates.WITH_ZONE))
     tests = {
         "BIT": (F.length(bare) <= 5) & F.lower(bare).isin(fixed.TRUE_WORDS + fixed.FALSE_WORDS),
         "UNIQUEIDENTIFIER": (F.length(bare) >= 32) & F.regexp_replace(bare, r"urn:|uuid:|^[{}]+|[{}]+\z|-", "").rlike(r"^[0-9A-Fa-f]{32}\z"),
         "TIME": bare.contains(":") & bare.rlike(dates.CLOCK),
-        "DATETIMEOFFSET": known & zoned,
-        "DATE": known & bare.rlike(dates.MIDNIGHT),
-        "DATETIME2": known & ~zoned,
+        "DATETIMEOFFSET": zoned,
+        "DATE": F.when(known, bare.rlike(dates.MIDNIGHT)),
+        "DATETIME2": ~zoned,
         "TINYINT": number.between(0, 255),
         "SMALLINT": number.between(-(2**15), 2**15 - 1),
         "INT": number.between(-(2**31), 2**31 - 1),
-        "BIGINT": number.between(-(2**63), 2**63 - 1),
-        "DECIMAL": bare.rlike(DECIMAL_SHAPE),
+        "BIGINT": number.isNotNull(),
+        "DECIMAL": mantissa.isNotNull(),
     }
-    bits = [F.coalesce(tests[name].cast("int"), F.lit(0)) * (1 << bit) for bit, name in enumerate(CANDIDATES)]
-    return reduce(lambda a, b: a + b, bits)
+    bits = [F.when(tests[name], 1 << bit).otherwise(0) for bit, name in enumerate(CANDIDATES)]
+    return reduce(lambda a, b: a.bitwiseOR(b), bits)
 
 
 _COUNTS = ["non_null_row_count", "blank_row_count", *[f"b{bit}" for bit in range(len(CANDIDATES))]]
@@ -167,9 +169,8 @@ DECIMAL_SHAPE = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]{1,6})?\z"
 
 
 def _integer(bare: Column) -> Column:
-    """The integer a text spells; underscores may group digits."""
-    digits = F.regexp_extract(bare, r"^[+-]?[0-9]+(_[0-9]+)*\z", 0)
-    return F.nullif(F.translate(digits, "_", ""), F.lit("")).try_cast("decimal(38,0)")
+    """The integer of 64 bits at most that a text spells; underscores may group digits."""
+    return F.when(bare.rlike(r"^[+-]?[0-9]+(_[0-9]+)*\z"), F.replace(bare, F.lit("_"), F.lit("")).try_cast("bigint"))
 
 
 def infer_types(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -184,20 +185,26 @@ def infer_types(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
     )
     # Readings are projected step by step, so that each is computed once per value.
     bare = df.select(F.inline(cells)).select("at", text.blank_to_null(F.col("raw")).alias("bare"))
-    exponent = F.nullif(F.regexp_extract("bare", r"[eE]([+-]?[0-9]+)\z", 1), F.lit("")).try_cast("int")
+    # No reading begins with anything else.
+    numeral = F.substring("bare", 1, 1).isin(*"0123456789+-.")
+    scientific = F.lower("bare").contains("e")
+    exponent = F.when(scientific, F.regexp_extract("bare", r"[eE]([+-]?[0-9]+)\z", 1).try_cast("int"))
+    mantissa = F.when(scientific, F.regexp_replace("bare", r"^[+-]|[eE].*\z", "")).otherwise(F.ltrim("bare", F.lit("+-")))
     read = bare.select(
         "*",
-        _integer(F.col("bare")).alias("number"),
-        dates.calendar_day(F.col("bare")).alias("day"),
-        F.when(F.col("bare").rlike(DECIMAL_SHAPE), F.regexp_replace("bare", r"^[+-]|[eE].*\z", "")).alias("mantissa"),
-        F.coalesce(exponent, F.lit(0)).alias("exponent"),
+        F.when(numeral, _integer(F.col("bare"))).alias("number"),
+        F.when(numeral, dates.calendar_day(F.col("bare"))).alias("day"),
+        F.when(numeral & F.col("bare").rlike(DECIMAL_SHAPE), mantissa).alias("mantissa"),
+        F.when(numeral, F.coalesce(exponent, F.lit(0))).alias("exponent"),
     )
+    point = F.instr("mantissa", ".")
+    fraction = F.when(point > 0, F.length("mantissa") - point).otherwise(F.length("mantissa") * 0)
     tested = read.select(
         "at",
-        F.when(F.col("bare").isNotNull(), _match_mask(F.col("bare"), F.col("number"), F.col("day"))).alias("mask"),
+        F.when(F.col("bare").isNotNull(), _match_mask(F.col("bare"), F.col("number"), F.col("day"), F.col("mantissa"))).alias("mask"),
         F.length("bare").alias("size"),
-        F.ltrim(F.translate("mantissa", ".", ""), F.lit("0")).alias("digits"),
-        (F.length(F.regexp_extract("mantissa", r"\.([0-9]*)\z", 1)) - F.col("exponent")).alias("shift"),
+        F.ltrim(F.replace("mantissa", F.lit("."), F.lit("")), F.lit("0")).alias("digits"),
+        (fraction - F.col("exponent")).alias("shift"),
     )
     kept = tested.withColumn("kept", F.length(F.rtrim("digits", F.lit("0"))))
     scale = F.when(F.col("kept") == 0, F.lit(0)).when(
@@ -206,11 +213,11 @@ def infer_types(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
     sized = kept.select("at", "mask", "size", "kept", scale.alias("scale"))
     counted = sized.groupBy("at").agg(
         F.count("mask").alias("non_null_row_count"),
-        F.count_if(F.col("mask").isNull()).alias("blank_row_count"),
+        F.count(F.when(F.col("mask").isNull(), 1)).alias("blank_row_count"),
         F.max("size").alias("max_string_length"),
         F.max(F.greatest("kept", F.col("scale") + 1)).alias("p"),
         F.max("scale").alias("s"),
-        *[F.count_if(F.getbit("mask", F.lit(bit)) == 1).alias(f"b{bit}") for bit in range(len(CANDIDATES))],
+        *[F.count(F.when(F.col("mask").bitwiseAND(1 << bit) != 0, 1)).alias(f"b{bit}") for bit in range(len(CANDIDATES))],
     )
     ranked = F.array(
         *[

@@ -1,6 +1,7 @@
 """Layer jobs end to end on small files, audit trail, reviews and keys."""
 
 import random
+import re
 from datetime import datetime
 from decimal import Decimal
 from difflib import SequenceMatcher
@@ -362,6 +363,29 @@ def test_key_summary_of_any_keys(spark):
     assert surrogate.key_summary(keyed.limit(0)).first() == (0, 0, None, None)
 
 
+def test_inference_code_is_small_enough_to_be_compiled(spark, capsys):
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        profile.infer_types(spark.createDataFrame([("1", "x")], "a string, b string")).explain("codegen")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:([0-9]+)", capsys.readouterr().out)]
+    assert sizes and max(sizes) < 8000  # the JVM interprets longer methods
+
+
+def test_inference_of_odd_values(spark):
+    expected = {
+        "2020-02-30": "VARCHAR(100)", "2020-13-01": "VARCHAR(100)", "0000-01-07": "DATE", "2020-1-2": "DATE", "2/29/2020": "DATE",
+        "2/30/2020 1:02": "VARCHAR(100)", "20200229T10": "DATETIME2", "2020-02-29x10:11Z": "DATETIMEOFFSET", "20200230": "INT",
+        "30000009912": "BIGINT", "+9_223_372_036_854_775_807": "BIGINT", "9223372036854775808": "DECIMAL(19,0)", "1.20E-3": "DECIMAL(5,4)",
+        "-.5": "DECIMAL(2,1)", "+-1": "VARCHAR(100)", "1__0": "VARCHAR(100)", "0" * 50 + "7": "TINYINT",
+    }
+    row = spark.createDataFrame([tuple(expected)], ", ".join(f"c{i} string" for i in range(len(expected))))
+    got = {int(r.column_name[1:]): r.inferred_sql_type for r in profile.infer_types(row).collect()}
+    assert {v: got[i] for i, v in enumerate(expected)} == expected
+
+
 def test_bulk_text_and_reports(spark, tmp_path):
     rows = spark.createDataFrame([("Y", "24.000", "Example Health")], "opt string, pct string, name string")
     columns = [("opt", "BIT"), ("pct", "DECIMAL(18,0)"), ("name", "VARCHAR(255)")]
