@@ -18,18 +18,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltline.llm.common import Workspace, table
+from siltline.llm.neardup import word_hashes
 from siltline.llm.tokens import _file_uri, _place, write_whole
 
 WINDOW = 13
 SLOTS = 1 << 22  # bits of the map of posted terms
 BLOCK_BYTES = 1 << 20  # text of the items in one block of phrases
 SEGMENT_WORDS = 1_500_000
+PART_BYTES = 2 << 20  # text of the rows that are searched together where no index is stored
 CANDIDATES = 2_000_000  # places looked at together; more are taken in turns
 
 # Words: ASCII letters in lower case, digits, and everything beyond ASCII.
@@ -42,25 +44,18 @@ def words_of(text: bytes | None) -> list[bytes]:
     return text.translate(FOLD).split() if text else []
 
 
-class Terms(dict):
-    """Hash of a word; 0 for words that ``posted`` rules out."""
+class Terms:
+    """Hashes of words, from the memory that the operators of a worker share; 0 for words that ``posted`` rules out."""
 
     def __init__(self, posted: np.ndarray | None = None):
-        super().__init__()
         self.posted = posted
 
-    def __missing__(self, word: bytes) -> int:
-        h = xxhash.xxh64_intdigest(word) or 1
-        if self.posted is not None:
-            slot = h & (SLOTS - 1)
-            h = h if self.posted[slot >> 3] >> (slot & 7) & 1 else 0
-        self[word] = h
-        return h
-
     def of(self, words: list[bytes]) -> np.ndarray:
-        if len(self) > 400_000:
-            self.clear()
-        return np.fromiter(map(self.__getitem__, words), dtype=np.uint64, count=len(words))
+        hashes = np.maximum(word_hashes().of(words), np.uint64(1))
+        if self.posted is not None:
+            slots = hashes & np.uint64(SLOTS - 1)
+            hashes[self.posted[slots >> np.uint64(3)] >> (slots & np.uint64(7)).astype(np.uint8) & 1 == 0] = 0
+        return hashes
 
 
 class Segment:
@@ -279,6 +274,14 @@ def contamination(docs: DataFrame, items: DataFrame, slop: int = 0) -> DataFrame
     return search(index, phrases, slop)
 
 
+def parts_of(batch: pa.RecordBatch, at: int, n_bytes: int) -> Iterator[pa.RecordBatch]:
+    """All rows of a batch, in order, in parts of whole rows with about ``n_bytes`` in column ``at``."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(at)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    cuts = np.flatnonzero(np.diff(ends // n_bytes)) + 1
+    for low, high in zip([0, *cuts], [*cuts, batch.num_rows]):
+        yield batch.slice(int(low), int(high - low))
+
+
 def without_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of ``docs``, with their columns, whose text is not contaminated.
 
@@ -291,11 +294,11 @@ def without_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         terms = Terms(np.frombuffer(shared.value, np.uint8))
         for batch in batches:
-            # A batch is one segment: Spark bounds its rows and bytes.
-            texts = [terms.of(words_of(t.as_buffer().to_pybytes() if t.is_valid else None)) for t in batch.column(at)]
-            n_words = np.array([len(t) for t in texts], np.int64)
-            n_hit, _ = _hits(Segment(*Segment.build(texts, gap)), n_words, phrases, 0)
-            yield batch.filter(pa.array(~((n_hit > 0) & (20 * n_hit >= n_words))))
+            for part in parts_of(batch, at, PART_BYTES):
+                texts = [terms.of(words_of(t.as_buffer().to_pybytes() if t.is_valid else None)) for t in part.column(at)]
+                n_words = np.array([len(t) for t in texts], np.int64)
+                n_hit, _ = _hits(Segment(*Segment.build(texts, gap)), n_words, phrases, 0)
+                yield part.filter(pa.array(~((n_hit > 0) & (20 * n_hit >= n_words))))
 
     return docs.mapInArrow(keep, docs.schema)
 
