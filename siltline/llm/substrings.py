@@ -32,6 +32,7 @@ INDEX_WORDS = 400_000
 CHUNK = 100_000  # grams whose minima are taken together; places fit 17 bits
 LAST = (1 << 63) - 1  # the order of documents without an id: behind all others
 FACTOR = 0x9E3779B97F4A7C15
+POWERS = tuple(np.uint64(pow(FACTOR, n, 1 << 64)) for n in (1, 2, 4))
 
 
 class WaveletMatrix:
@@ -156,15 +157,20 @@ def _least(values: np.ndarray, span: int) -> np.ndarray:
     return (np.minimum(behind[:n], ahead[span - 1:span - 1 + n]) & np.uint64((1 << 17) - 1)).astype(np.int64)
 
 
+def gram_hashes(words: np.ndarray) -> np.ndarray:
+    """The polynomial of each ``GRAM`` consecutive words, put together from those of 2, 4 and 8 words."""
+    two = words[:-1] * POWERS[0] + words[1:]
+    four = two[:-2] * POWERS[1] + two[2:]
+    eight = four[:-4] * POWERS[2] + four[4:]
+    return eight[:-4] * POWERS[2] + four[8:]
+
+
 def anchors_of(words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(anchor, first window, last window) in the order of the text."""
     n = len(words) - WINDOW + 1
     if n < 1:
         return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
-    grams = np.zeros(len(words) - GRAM + 1, np.uint64)
-    for i in range(GRAM):
-        grams = grams * np.uint64(FACTOR) + words[i:i + len(grams)]
-    grams = mixed(grams)
+    grams = mixed(gram_hashes(words))
     span = WINDOW - GRAM + 1
     at = np.concatenate([a + _least(grams[a:a + CHUNK + span - 1], span) for a in range(0, n, CHUNK)])
     low = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
