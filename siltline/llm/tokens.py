@@ -51,7 +51,7 @@ class PieceEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
-        self.dtype = dtype
+        self.dtype = np.dtype(dtype)
         # What is met again moves from the older to the newer half, so frequent pieces stay.
         self.cache: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
@@ -59,12 +59,9 @@ class PieceEncoder:
         self.as_units = str.maketrans({c: "".join(_byte_char(b) for b in c.encode()) for c in units})
 
     def _learn(self, pieces: set[str]) -> None:
-        if len(self.cache) > CACHED:
-            self.older, self.cache = self.cache, {}
+        """Cache ``pieces``, which are not in the newer half."""
         cache, older, tokenize = self.cache, self.older, self.tokenizer.model.tokenize
         for piece in pieces:
-            if piece in cache:
-                continue
             known = older.get(piece)
             if known is None:
                 if UNIT.fullmatch(piece):
@@ -82,11 +79,11 @@ class PieceEncoder:
             cut = CUT.search(text, at + LONG) if len(text) - at > LONG else None
             end = cut.end() if cut else len(text)
             pieces = PIECE.findall(text, at, end)
-            try:
-                out.append(b"".join(map(self.cache.__getitem__, pieces)))
-            except KeyError:
-                self._learn(set(pieces))
-                out.append(b"".join(map(self.cache.__getitem__, pieces)))
+            if len(self.cache) > CACHED:
+                self.older, self.cache = self.cache, {}
+            # Most texts have a new piece; only new ones are looked at one by one.
+            self._learn(set(pieces).difference(self.cache))
+            out.append(b"".join(map(self.cache.__getitem__, pieces)))
             at = end
         return b"".join(out)
 
