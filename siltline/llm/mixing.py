@@ -76,7 +76,9 @@ def rake(cells: DataFrame, keep: Workspace, margins: tuple[str, ...] = MARGINS,
 
     ``targets`` names shares per margin (categories not named get none of it); a margin without
     targets takes its observed shares to the power ``SMOOTHING``. Null is a category like others.
-    A step sums the cells by category, folded before the shuffle, and joins the sums back.
+    A step sums the cells by category, folded before the shuffle, and joins the sums back. Each is stored:
+    it reads the one before twice, so a plan over a sweep would hold the first step's joins four times,
+    and the driver a thread and its memory for each of their exchanges.
     """
     total = cells.agg(F.sum("tokens").cast("double")).first()[0] or 0.0
     state = cells.withColumn("w", F.lit(float(budget)))
@@ -91,15 +93,14 @@ def rake(cells: DataFrame, keep: Workspace, margins: tuple[str, ...] = MARGINS,
         goals = reachable(shares, budget * total).select("of", F.col("goal").alias(f"goal_{m}"), F.col("whole").alias(f"whole_{m}"))
         state = state.join(goals, F.col(m).eqNullSafe(F.col("of"))).drop("of")
         state = state.withColumn("w", F.when(F.col(f"whole_{m}"), F.col("w") * WHOLE).otherwise(F.col("w")))
-    state = keep.keep(state, "cells-0")
-    for sweep in range(sweeps):
-        for m in margins:
-            sums = state.groupBy(F.col(m).alias("of")).agg(F.sum(F.col("tokens") * F.least(F.lit(1.0), "w")).alias("got"))
-            state = state.join(sums, F.col(m).eqNullSafe(F.col("of")))
-            moved = F.when(~F.col(f"whole_{m}") & (F.col("got") > 0), F.col("w") * F.col(f"goal_{m}") / F.col("got"))
-            state = state.withColumn("w", moved.otherwise(F.col("w"))).drop("of", "got")
-        state = keep.keep(state, f"cells-{sweep + 1}")
-        keep.drop(f"cells-{sweep}")
+    state, step = keep.keep(state, "cells-0"), 0
+    for m in margins * sweeps:
+        sums = state.groupBy(F.col(m).alias("of")).agg(F.sum(F.col("tokens") * F.least(F.lit(1.0), "w")).alias("got"))
+        summed = state.join(sums, F.col(m).eqNullSafe(F.col("of")))
+        moved = F.when(~F.col(f"whole_{m}") & (F.col("got") > 0), F.col("w") * F.col(f"goal_{m}") / F.col("got"))
+        step += 1
+        state = keep.keep(summed.withColumn("w", moved.otherwise(F.col("w"))).drop("of", "got"), f"cells-{step}")
+        keep.drop(f"cells-{step - 1}")
     return state.select(*margins, "tokens", F.round(F.least(F.lit(1.0), "w"), 6).alias("probability"))
 
 

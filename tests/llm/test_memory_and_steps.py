@@ -3,7 +3,8 @@
 import numpy as np
 import pyarrow as pa
 
-from siltline.llm import contamination, substrings, tokens
+from siltline.llm import contamination, mixing, substrings, tokens
+from siltline.llm.common import Workspace
 
 
 def test_rows_are_searched_in_parts_of_bounded_text():
@@ -51,3 +52,18 @@ def test_only_new_pieces_are_learnt(monkeypatch):
         got = np.frombuffer(encoder.encode(text), "<u2").tolist()
         assert got == whole.encode(text, add_special_tokens=False).ids
     assert learnt[:2] == [{"some", " words", " here"}, {" there"}]
+
+
+def test_a_raking_step_joins_its_sums_once(spark, monkeypatch):
+    frame = spark.createDataFrame([("a", "en", "note", 9), ("a", None, "book", 4), ("b", "en", "book", 2)], "source string, lang string, topic string, tokens long")
+    joins, keep = {}, Workspace.keep
+
+    def counted(self, df, name):
+        joins[name] = df._jdf.queryExecution().optimizedPlan().toString().count("Join ")
+        return keep(self, df, name)
+
+    monkeypatch.setattr(Workspace, "keep", counted)
+    assert mixing.rake(frame, Workspace(spark, "test"), sweeps=2).count() == 3
+    # The driver holds threads for every join's exchanges: one join a margin for the goals, one a step.
+    assert sum(joins.values()) == 3 + 2 * 3
+    assert max(n for name, n in joins.items() if name != "cells-0") == 1
